@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vitrine.operators.joins import lookup
-
 
 def trailing_distinct(df: DataFrame, *, date: str, member: str, days: int = 7) -> DataFrame:
     """(date, daily, trailing): distinct members on the date, and over the ``days`` ending on it.
@@ -47,18 +45,20 @@ def cohort_percentiles(
     A row is 'new' on the member's first date for that entity, counting open rows, else 'returning'.
     Open rows set the first date but are not measured. ``probs`` maps output names to fractions.
 
-    Equal values are counted before the percentile, so a popular entity costs one row per distinct
-    value, not per row. ``value`` is expected to be integer-like (minutes, days, units).
+    ``df`` is read once. Equal rows are counted before anything is grouped by member, and equal values
+    again before the percentile: a busy member costs the window one row per date and distinct value, a
+    popular entity costs the percentile one row per distinct value. ``value`` is expected to be
+    integer-like (minutes, days, units).
     """
     pair = [member, entity]
-    first = df.groupBy(*pair).agg(F.min(date).alias("_first"))
-    closed = df.filter(~F.col(is_open)).select(*pair, date, value)
-    cohort = F.when(F.col(date) == F.col("_first"), "new").otherwise("returning")
+    counted = df.groupBy(*pair, date, is_open, value).agg(F.count(F.lit(1)).alias("_n"))
+    first = F.min(date).over(Window.partitionBy(*pair))
+    cohort = F.when(F.col(date) == first, "new").otherwise("returning")
     group = [date, entity, "user_cohort"]
-    tagged = lookup(closed, first, pair, "inner", null_safe=True).withColumn("user_cohort", cohort)
-    counted = tagged.groupBy(*group, value).agg(F.count(F.lit(1)).alias("_n"))
+    closed = counted.withColumn("user_cohort", cohort).filter(~F.col(is_open))
+    per_value = closed.groupBy(*group, value).agg(F.sum("_n").alias("_n"))
     n_valued = F.sum(F.when(F.col(value).isNotNull(), F.col("_n")))
-    return counted.groupBy(*group).agg(
+    return per_value.groupBy(*group).agg(
         F.sum("_n").alias("session_count"),
         (F.sum((F.col(value) * F.col("_n"))).cast("double") / n_valued.cast("double")).alias("average"),
         *[F.percentile(value, p, F.col("_n")).alias(name) for name, p in probs.items()],

@@ -42,8 +42,10 @@ def conversion(
             F.count_if(~F.coalesce(same_day, F.lit(False))).alias("_later"),
         )
     )
+    # Reading the day off _last_end keeps both uses of end_days one plan, so its exchange is reused.
     both = start_days.unionByName(
-        end_days.select(*keys, "_day", F.unix_date("_day").alias("_end_no")), allowMissingColumns=True
+        end_days.select(*keys, "_day", F.unix_date(F.to_date("_last_end")).alias("_end_no")),
+        allowMissingColumns=True,
     ).withColumn("_day_no", F.unix_date("_day"))
     following = (
         Window.partitionBy(*keys).orderBy(F.col("_day_no").desc()).rangeBetween(Window.unboundedPreceding, -1)

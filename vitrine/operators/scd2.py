@@ -41,9 +41,11 @@ def scd2_replay(
     """
     dated = changes.select(*keys, *attrs, ts, tie_break, old, new).withColumn("_day", F.to_date(ts))
 
+    # Taking whole rows here keeps the inputs of the aggregate and of the join below one plan: whatever
+    # produced ``changes`` runs once and its exchange is reused.
     days = dated.groupBy(*keys, "_day").agg(
         F.min(ts).alias("_day_first"),
-        F.min_by(F.struct(old, *attrs), F.struct(ts, tie_break)).alias("_day_first_row"),
+        F.min_by(F.struct(old, new, *attrs), F.struct(ts, tie_break)).alias("_day_first_row"),
     )
     by_key = Window.partitionBy(*keys).orderBy("_day")
     spans = days.select(

@@ -11,7 +11,6 @@ import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from vitrine.plans import Warehouse
 from vitrine.session import configure
@@ -20,12 +19,40 @@ from vitrine.sources import LANDING
 AS_OF = dt.datetime(2024, 1, 31, 2, 0, 0, tzinfo=dt.timezone.utc)
 
 
+# Schemas of the driver tables, so that no read has to open a file to learn them.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+        "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, "
+        "l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
+    ),
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+_ZONELESS = {"orders": "o_orderdate", "lineitem": "l_shipdate", "events": "ts"}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A driver table. Its zone-less timestamps are UTC instants."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    for f in df.schema.fields:
-        if isinstance(f.dataType, T.TimestampNTZType):
-            df = df.withColumn(f.name, F.col(f.name).cast("timestamp"))
+    df = spark.read.schema(SCHEMAS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    if name in _ZONELESS:
+        df = df.withColumn(_ZONELESS[name], F.col(_ZONELESS[name]).cast("timestamp"))
     return df
 
 
@@ -400,8 +427,8 @@ def warehouse(spark: SparkSession, sf_dir: str) -> Warehouse:
     return Warehouse(
         spark,
         landing=lambda name: landing(spark, sf_dir, name),
-        fx_rates=fx_rates(spark, sf_dir),
+        fx=lambda: fx_rates(spark, sf_dir),
         as_of=AS_OF,
         health=lambda name: health(spark, sf_dir, name),
-        calendar=order_days(spark, sf_dir),
+        calendar=lambda: order_days(spark, sf_dir),
     )

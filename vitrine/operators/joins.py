@@ -11,9 +11,10 @@ from pyspark.sql import types as T
 _HASHABLE = (T.NumericType, T.StringType, T.BooleanType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
-def _row_hash(df: DataFrame) -> Column:
-    names = [f.name for f in df.schema.fields if isinstance(f.dataType, _HASHABLE)]
-    return F.xxhash64(*names)
+def _row_hash(df: DataFrame, on: list[str], spread: list[str] | None) -> Column:
+    others = [f.name for f in df.schema.fields if f.name not in on and isinstance(f.dataType, _HASHABLE)]
+    # One column by default: a hash of whole rows would keep unused columns alive through the shuffle.
+    return F.xxhash64(*(spread or others[:1] or on))
 
 
 def _hash_input(name: str, a: T.DataType, b: T.DataType) -> Column:
@@ -31,6 +32,7 @@ def lookup(
     on: list[str],
     how: str = "left",
     null_safe: bool = False,
+    spread: list[str] | None = None,
 ) -> DataFrame:
     """Join ``rows`` to ``reference`` (one row per key) on equally named columns.
 
@@ -41,13 +43,14 @@ def lookup(
     * AQE splits a hot partition only if both inputs of the join come straight from an exchange. A
       reference that was just de-duplicated or aggregated by its key would skip that exchange, so a
       hash of the key joins the condition: neither side is partitioned by it yet, both get exchanged.
-    * Rows with a NULL key can match nothing, so their hash is taken from the whole row. They spread
-      over all partitions instead of meeting in one.
+    * Rows with a NULL key can match nothing, so their hash is taken from ``spread``, columns that tell
+      rows apart (by default the first that is no key). They spread over all partitions instead of
+      meeting in one.
     """
     slot = F.xxhash64(*[_hash_input(k, rows.schema[k].dataType, reference.schema[k].dataType) for k in on])
     if not null_safe:
         missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])
-        left = rows.withColumn("_slot", F.when(missing, _row_hash(rows)).otherwise(slot))
+        left = rows.withColumn("_slot", F.when(missing, _row_hash(rows, on, spread)).otherwise(slot))
     else:
         left = rows.withColumn("_slot", slot)
     left = left.alias("_row")

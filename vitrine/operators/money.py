@@ -24,12 +24,16 @@ def fx_convert(
     keyed = df.withColumn("_day", F.to_date(ts)).withColumn("_currency", F.col(currency))
     by_day = rates.select(F.col("date").alias("_day"), F.col("currency").alias("_currency"), "rate_to_usd")
     amount = F.col(cents).cast("double") / F.lit(100.0) * F.col("rate_to_usd")
-    return lookup(keyed, by_day, ["_day", "_currency"]).select(*df.columns, amount.alias(out))
+    return lookup(keyed, by_day, ["_day", "_currency"], spread=[ts, cents]).select(*df.columns, amount.alias(out))
 
 
 def refund_valuation(refunds: DataFrame, purchases: DataFrame, key: str) -> DataFrame:
-    """Refunds with the columns of the purchase they reverse; those without one are dropped."""
-    return lookup(refunds, purchases, [key], "inner")
+    """Refunds with the columns of the purchase they reverse; those without one are dropped.
+
+    The NULL keys go first and the join is null-safe: a plain one would add a NOT NULL filter below the
+    purchases, which could then not share their exchange with other uses of the purchases.
+    """
+    return lookup(refunds.filter(F.col(key).isNotNull()), purchases, [key], "inner", null_safe=True)
 
 
 def cents(amount: str) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from vitrine.operators.joins import lookup
@@ -36,40 +36,35 @@ def scd2_replay(
 
     Keys of unknown entities yield nothing. Changes at one instant are ordered by ``tie_break``.
 
-    No window spans a whole key. Changes are ordered inside (key, day); the first instant of the next
-    day comes from a per-day aggregate, which has at most one row per key and day.
+    No window takes in all rows of a key. Changes are ordered inside (key, day); what reaches across days
+    comes from the first row of each day, at most one per key and day. Both steps read the same
+    columns, so that they share one exchange of the changes.
     """
     dated = changes.select(*keys, *attrs, ts, tie_break, old, new).withColumn("_day", F.to_date(ts))
+    in_day = Window.partitionBy(*keys, "_day").orderBy(ts, tie_break)
+    rows = dated.select("*", F.lead(ts).over(in_day).alias("_next_in_day"), _opens_day(in_day).alias("_opens_day"))
 
-    # Taking whole rows here keeps the inputs of the aggregate and of the join below one plan: whatever
-    # produced ``changes`` runs once and its exchange is reused.
-    days = dated.groupBy(*keys, "_day").agg(
-        F.min(ts).alias("_day_first"),
-        F.min_by(F.struct(old, new, *attrs), F.struct(ts, tie_break)).alias("_day_first_row"),
-    )
     by_key = Window.partitionBy(*keys).orderBy("_day")
-    spans = days.select(
+    spans = rows.filter("_opens_day").select(
         *keys,
         "_day",
-        F.lead("_day_first").over(by_key).alias("_next_day_first"),
+        F.lead(ts).over(by_key).alias("_next_day_first"),
         (F.row_number().over(by_key) == 1).alias("_is_first_day"),
-        F.first("_day_first").over(by_key).alias("_earliest"),
-        F.first("_day_first_row").over(by_key).alias("_earliest_row"),
+        F.first(F.struct(ts, old, new, *attrs)).over(by_key).alias("_earliest"),
     )
     spans = lookup(spans, entities.select(entity, origin), [entity], "inner")
 
-    in_day = Window.partitionBy(*keys, "_day").orderBy(ts, tie_break)
-    rows = dated.join(spans, [*keys, "_day"], "inner").select(
+    rows = rows.join(spans, [*keys, "_day"], "inner").select(
         "*",
-        F.coalesce(F.lead(ts).over(in_day), F.col("_next_day_first")).alias("_next"),
-        (F.col("_is_first_day") & (F.row_number().over(in_day) == 1)).alias("_is_earliest"),
+        F.coalesce("_next_in_day", "_next_day_first").alias("_next"),
+        (F.col("_is_first_day") & F.col("_opens_day")).alias("_is_earliest"),
     )
 
-    started_unpriced = F.col(f"_earliest_row.{old}").isNull()
+    started_unpriced = F.col(f"_earliest.{old}").isNull()
     opened = F.struct(
         *attrs,
         F.col(new).alias(value),
-        F.when((F.col(ts) == F.col("_earliest")) & started_unpriced, F.col(origin))
+        F.when((F.col(ts) == F.col(f"_earliest.{ts}")) & started_unpriced, F.col(origin))
         .otherwise(F.col(ts))
         .alias("valid_from"),
         F.col("_next").alias("valid_to"),
@@ -103,25 +98,25 @@ def previous_end(intervals: DataFrame, keys: list[str], start: str = "valid_from
     """Each interval with the end of the one before it, as ``prev_valid_to``.
 
     Intervals are ordered by start, then end with the open one last. As in ``scd2_replay`` the order is
-    taken inside (key, day) and carried over from a per-day aggregate.
+    taken inside (key, day), and only the first row of a day looks at the day before.
     """
     far = F.coalesce(F.col(end), F.lit("9999-12-31").cast("timestamp"))
     dated = intervals.select(*keys, start, end).withColumn("_far", far).withColumn("_day", F.to_date(start))
-    last_of_day = dated.groupBy(*keys, "_day").agg(
-        F.max_by(F.struct(end), F.struct(start, "_far")).alias("_day_last")
-    )
-    by_key = Window.partitionBy(*keys).orderBy("_day")
-    carried = last_of_day.select(
-        *keys,
-        "_day",
-        F.lag("_day_last").over(by_key).alias("_carried"),
-    )
     in_day = Window.partitionBy(*keys, "_day").orderBy(start, "_far")
-    return dated.join(carried, [*keys, "_day"], "inner").select(
-        *keys,
-        start,
-        end,
-        F.when(F.row_number().over(in_day) == 1, F.col(f"_carried.{end}"))
-        .otherwise(F.lag(end).over(in_day))
-        .alias("prev_valid_to"),
+    whole_day = in_day.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    rows = dated.select(
+        "*",
+        _opens_day(in_day).alias("_opens_day"),
+        F.lag(end).over(in_day).alias("_prev_in_day"),
+        F.last(end).over(whole_day).alias("_day_last"),
     )
+    by_key = Window.partitionBy(*keys).orderBy("_day")
+    carried = rows.filter("_opens_day").select(*keys, start, end, F.lag("_day_last").over(by_key).alias("prev_valid_to"))
+    inside = rows.filter("not _opens_day").select(*keys, start, end, F.col("_prev_in_day").alias("prev_valid_to"))
+    return carried.unionByName(inside)
+
+
+def _opens_day(in_day: WindowSpec) -> Column:
+    """True on the first row of the window partition. Not written as a rank: a rank filter would be pushed
+    below the exchange, which could then not be shared with the rows that stay."""
+    return F.lag(F.lit(1)).over(in_day).isNull()

@@ -60,11 +60,11 @@ def dim_marketing_campaigns(wh: Warehouse) -> DataFrame:
 
 @model(CORE)
 def dim_date(wh: Warehouse) -> DataFrame:
-    bounds = wh.calendar
-    if not isinstance(bounds, DataFrame):
-        bounds = wh.spark.range(1).select(
-            F.lit(bounds[0]).cast("date").alias("first_day"), F.lit(bounds[1]).cast("date").alias("end_day")
-        )
+    if callable(wh.calendar):
+        bounds = wh.calendar()
+    else:
+        first, end = wh.calendar
+        bounds = wh.spark.range(1).select(F.lit(first).alias("first_day"), F.lit(end).alias("end_day"))
     sunday_is_zero = F.dayofweek("date_day") - 1
     return date_spine(bounds).select(
         "date_day",

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -29,15 +30,17 @@ def model(layer: str, name: str | None = None):
 class Warehouse:
     """``wh["dim_users"]`` is the model as a lazy DataFrame.
 
-    A model that ``publish`` has written is read back from its table by everything that follows.
+    Inputs are functions, called when a model first needs them. A model that ``publish`` has written is
+    read back from its table by everything that follows.
     """
 
     spark: SparkSession
     landing: Callable[[str], DataFrame]
-    fx_rates: DataFrame
+    fx: Callable[[], DataFrame]
     as_of: dt.datetime
     health: Callable[[str], DataFrame] | None = None
-    calendar: tuple[dt.date, dt.date] | DataFrame = (dt.date(2023, 1, 1), dt.date(2027, 1, 1))
+    # First day and the day after the last, or a function giving them as a one-row DataFrame.
+    calendar: tuple[dt.date, dt.date] | Callable[[], DataFrame] = (dt.date(2023, 1, 1), dt.date(2027, 1, 1))
     written: dict[str, DataFrame] = field(default_factory=dict)
     _lazy: dict[str, DataFrame] = field(default_factory=dict, repr=False)
 
@@ -45,6 +48,10 @@ class Warehouse:
         if self.as_of.tzinfo is None:
             self.as_of = self.as_of.replace(tzinfo=dt.timezone.utc)
 
+    @cached_property
+    def fx_rates(self) -> DataFrame:
+        return self.fx()
+
     def __getitem__(self, name: str) -> DataFrame:
         if name in self.written:
             return self.written[name]

@@ -35,6 +35,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("vitrine")
         .config("spark.ui.enabled", "false")
+        # Call sites are kept for error messages at the price of JVM calls per column expression.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="vitrine-warehouse-"))

@@ -419,24 +419,82 @@ def _(read):
 
 
 @on_tables(
-    "ratio_per_supplier",
-    """select s_suppkey, any_value(s_acctbal) as s_acctbal, cast(count(l_suppkey) as bigint) as line_count,
-  case when count(l_suppkey) > 0 then any_value(s_acctbal) / 100.0::double / count(l_suppkey) end as per_line
-from supplier left join lineitem on l_suppkey = s_suppkey and l_returnflag = 'R' and l_quantity > 49 group by s_suppkey""",
+    "ratio_per_customer",
+    """select c_custkey, any_value(c_acctbal) as c_acctbal, cast(count(event_id) as bigint) as event_count,
+  case when count(event_id) > 0 then any_value(c_acctbal) / 100.0::double / count(event_id) end as per_event
+from customer left join events on user_id = c_custkey group by c_custkey""",
 )
 def _(read):
-    busy = read("lineitem").filter("l_returnflag = 'R' and l_quantity > 49").selectExpr("l_suppkey as s_suppkey")
     return op.ratio_per_entity(
-        read("supplier").select("s_suppkey", "s_acctbal"),
-        busy,
-        key="s_suppkey",
-        numerator="s_acctbal",
-        count_out="line_count",
-        ratio_out="per_line",
+        read("customer").select("c_custkey", "c_acctbal"),
+        read("events").selectExpr("user_id as c_custkey"),
+        key="c_custkey",
+        numerator="c_acctbal",
+        count_out="event_count",
+        ratio_out="per_event",
         scale=100,
     )
 
 
+@on_tables(
+    "previous_end_of_lines",
+    """select l_orderkey, valid_from, valid_to,
+  lag(valid_to) over (partition by l_orderkey order by valid_from, valid_to nulls last) as prev_valid_to
+from (select l_orderkey, l_shipdate as valid_from,
+        case when l_returnflag = 'R' then null else l_shipdate + to_days(cast(l_quantity as integer)) end as valid_to
+      from lineitem)""",
+)
+def _(read):
+    lines = read("lineitem").selectExpr(
+        "l_orderkey",
+        "l_shipdate as valid_from",
+        "if(l_returnflag = 'R', null, l_shipdate + make_dt_interval(int(l_quantity))) as valid_to",
+    )
+    return op.previous_end(lines, ["l_orderkey"])
+
+
+@on_tables(
+    "converted_counts_of_users",
+    """select user_id, cast(count(*) as bigint) as start_count, cast(count(*) filter (hit) as bigint) as converted_count
+from (select c.user_id, exists (select 1 from events p where p.event_type = 'purchase' and p.user_id = c.user_id
+        and p.ts > c.ts) as hit from events c where c.event_type = 'click') group by user_id""",
+)
+def _(read):
+    events = read("events")
+    return op.converted_counts(
+        events.filter("event_type = 'click'"),
+        events.filter("event_type = 'purchase'"),
+        keys=["user_id"],
+        start_ts="ts",
+        end_ts="ts",
+        group=["user_id"],
+    )
+
+
+@on_tables(
+    "pass_rate_of_orders",
+    """select o_orderdate::date as run_date, r_name as schema_name, cast(count(*) as bigint) as test_count,
+  cast(count(*) filter (o_orderstatus = 'F') as bigint) as pass_count,
+  count(*) filter (o_orderstatus = 'F') / nullif(count(*), 0) as pass_rate
+from orders join customer on c_custkey = o_custkey join nation on n_nationkey = c_nationkey
+join region on r_regionkey = n_regionkey group by all""",
+)
+def _(read):
+    results = read("orders").selectExpr(
+        "cast(o_custkey as string) as unique_id",
+        "'test' as resource_type",
+        "if(o_orderstatus = 'F', 'pass', 'fail') as status",
+        "o_orderdate as created_at",
+    )
+    tests = read("customer").selectExpr(
+        "cast(c_custkey as string) as unique_id", "cast(c_nationkey as string) as parent_model_unique_id"
+    )
+    models = read("nation").join(read("region"), F.expr("n_regionkey = r_regionkey"))
+    return op.pass_rate(
+        results, tests, models.selectExpr("cast(n_nationkey as string) as unique_id", "r_name as schema_name")
+    )
+
+
 @on_tables(
     "revenue_rollup_by_nation",
     """select c_nationkey, round(sum(o_totalprice), 2) as revenue from orders join customer on c_custkey = o_custkey

@@ -71,6 +71,18 @@ def test_readers_apply_their_schemas(spark, tmp_path):
         assert read_health(spark, str(tmp_path), name).count() == 0
 
 
+def test_freshness_of_landed_files(spark, tmp_path):
+    wh = warehouse(spark, SF)
+    for name in LANDING:
+        wh.landing(name).write.parquet(f"{tmp_path}/{name}")
+    derived = rows(source_freshness(wh))
+    wh.landing = lambda name: read_landing(spark, str(tmp_path), name)
+    landed = source_freshness(wh)
+    plan = landed._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ReadSchema: struct<__source_ts_ms:bigint>") == 16
+    assert rows(landed) == derived
+
+
 def test_build_check_and_count(spark, prefix):
     wh = warehouse(spark, SF)
     lazy = {n: warehouse(spark, SF)[n] for n in ("fct_refunds", "fct_finance_revenue_daily", "dim_game_prices")}

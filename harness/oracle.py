@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 
 from vitrine.functions import KEY_NULL_TEXT
-from vitrine.plans.checks import CHANNELS, CHECKS, COHORTS, GRANT_SOURCES
+from vitrine.plans.checks import CHECKS
 from vitrine.plans.product import FUNNEL_STAGES
 from vitrine.sources import FRESHNESS_HOURS, LANDING
 
@@ -403,25 +403,29 @@ from stg_wishlist_items where not is_deleted""",
         "run_results": """select 'test.' || (o_custkey % 120) as unique_id,
   case when o_orderkey % 10 = 0 then 'model' else 'test' end as resource_type,
   case when o_orderkey % 7 = 0 then 'fail' else 'pass' end as status, o_orderdate as created_at from orders""",
-        "test_registry": """select 'test.' || s_suppkey as unique_id, 'model.' || (s_suppkey % 30) as parent
-from supplier""",
-        "model_registry": "select 'model.' || n_nationkey as unique_id, 'layer_' || n_regionkey as schema_name from nation",
+        "test_registry": """select 'test.' || s_suppkey as unique_id,
+  'model.' || (s_suppkey % 30) as parent_model_unique_id from supplier""",
+        "model_registry": """select 'model.' || n_nationkey as unique_id, 'layer_' || n_regionkey as schema_name
+from nation""",
+        "freshness_results": """select 'run.' || event_id as source_freshness_execution_id,
+  'source.' || (event_id % 30) as unique_id,
+  case event_type when 'error' then 'error' when 'click' then 'warn' else 'pass' end as status, ts as max_loaded_at,
+  value as max_loaded_at_time_ago_in_s, ts + to_hours(1) as snapshotted_at,
+  case when event_type = 'error' then 'no rows' end as error, ts + to_minutes(61) as created_at from events""",
+        "source_registry": """select 'source.' || n_nationkey as unique_id, 'store' as source_name,
+  lower(n_name) || '_' || g as name, 'layer_' || n_regionkey as schema_name,
+  TIMESTAMP '2024-01-01' + to_days(g) as generated_at from (select *, unnest([0, 1]) as g from nation)""",
         "fct_dbt_test_results": """select r.created_at::date as run_date, m.schema_name,
   cast(count(*) as bigint) as test_count, cast(count(*) filter (r.status = 'pass') as bigint) as pass_count,
   count(*) filter (r.status = 'pass') / nullif(count(*), 0) as pass_rate
-from run_results r join test_registry t on t.unique_id = r.unique_id join model_registry m on m.unique_id = t.parent
+from run_results r join test_registry t on t.unique_id = r.unique_id join model_registry m on m.unique_id = t.parent_model_unique_id
 where r.resource_type = 'test' group by all""",
-        "fct_source_freshness": """select 'run.' || e.event_id as source_freshness_execution_id, s.unique_id,
-  'store' as source_name, s.name as table_name, s.schema_name,
-  case event_type when 'error' then 'error' when 'click' then 'warn' else 'pass' end as status, ts as max_loaded_at,
-  value as max_loaded_at_time_ago_in_s, ts + to_hours(1) as snapshotted_at,
-  case when event_type = 'error' then 'no rows' end as error, ts + to_minutes(61) as created_at
-from events e
-join (select 'source.' || n_nationkey as unique_id, lower(n_name) || '_' || g as name,
-        'layer_' || n_regionkey as schema_name
-      from (select *, unnest([0, 1]) as g from nation)
-      qualify row_number() over (partition by n_nationkey order by g desc) = 1) s
-  on s.unique_id = 'source.' || (e.event_id % 30)""",
+        "fct_source_freshness": """select r.source_freshness_execution_id, r.unique_id, s.source_name,
+  s.name as table_name, s.schema_name, r.status, r.max_loaded_at, r.max_loaded_at_time_ago_in_s, r.snapshotted_at,
+  r.error, r.created_at
+from freshness_results r
+join (select * from source_registry
+      qualify row_number() over (partition by unique_id order by generated_at desc) = 1) s using (unique_id)""",
         # Range join over calendar days, as the measure is defined.
         "active_days": "select distinct user_key, started_date as day from fct_playtime_sessions",
         "fct_product_active_users_daily": f"""select d.day as active_date, {key('d.day')} as active_users_daily_key,
@@ -534,6 +538,15 @@ def scan_sql(name: str) -> str:
     )
 
 
+HEALTH_RELATIONS = {
+    "run_results": "run_results",
+    "tests": "test_registry",
+    "models": "model_registry",
+    "source_freshness_results": "freshness_results",
+    "sources": "source_registry",
+}
+
+
 def stage_sql(name: str) -> str:
     columns = "* replace (replace(props, ' ', '') as props)" if name == "client_events" else "*"
     return f"select {columns} from stg_{name}"
@@ -682,9 +695,7 @@ from fct_refunds r join fct_purchases p on p.purchase_key = r.purchase_key where
 }
 
 __all__ = [
-    "CHANNELS",
-    "COHORTS",
-    "GRANT_SOURCES",
+    "HEALTH_RELATIONS",
     "INVARIANT_SQL",
     "MODEL_SQL",
     "checks_sql",

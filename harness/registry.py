@@ -97,6 +97,15 @@ for _name in LANDING:
     add(f"scan_landing_{_name}", _scan(_name), oracle.scan_sql(_name))
 add("scan_fx_rates", lambda s, d: warehouse(s, d).fx_rates, "select * from fx_rates")
 
+
+
+def _scan_health(name: str) -> Query:
+    return lambda spark, sf_dir: warehouse(spark, sf_dir).health(name)
+
+
+for _name, _relation in oracle.HEALTH_RELATIONS.items():
+    add(f"scan_health_{_name}", _scan_health(_name), f"select * from {_relation}")
+
 for _name in MODELS:
     _sql = oracle.stage_sql(_name.removeprefix("stg_")) if _name.startswith("stg_") else oracle.MODEL_SQL[_name]
     add(_name, _rounded(_name, _DIGITS.get(_name, {})), _sql)

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vitrine import operators as op
+from vitrine.session import cluster_conf
 
 # Sizes at which AQE sees skew in a test: no broadcast, tiny partitions.
 SMALL = {
@@ -72,6 +73,12 @@ def test_lookup_spreads_null_keys(spark, small_sizes, hot):
     assert slots == nulls.filter("k is null").count()
 
 
+def test_cluster_conf():
+    big = cluster_conf(20 << 40, cores=4000)
+    assert big["spark.sql.shuffle.partitions"] == str(80 * 1024)
+    assert cluster_conf(1 << 20, cores=8)["spark.sql.shuffle.partitions"] == "16"
+
+
 def test_small_reference_is_broadcast_by_size(spark, hot):
     plan = final_plan(op.lookup(hot, versions(spark).filter("v < 10"), ["k"]))
     assert "BroadcastHashJoin" in plan

@@ -29,6 +29,23 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def cluster_conf(shuffled_bytes: int, cores: int, partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Partition settings for a cluster run that shuffles about ``shuffled_bytes`` in its largest stage.
+
+    Shuffles start with partitions of ``partition_bytes`` and at least two waves over the cores; AQE then
+    merges small ones and splits hot ones around the same size. Scans use the same size, so that a task
+    sorts its rows in memory before the shuffle.
+    """
+    partitions = max(2 * cores, -(-shuffled_bytes // partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(partition_bytes),
+    }
+
+
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: str = "8g") -> SparkSession:
     """A local session for tests and benchmarks."""
     builder = (

@@ -414,3 +414,5 @@ def test_lookup_types(spark):
     assert op.lookup(zero, spark.createDataFrame([(0.0, 1)], "k double, v int"), ["k"], "inner").count() == 1
     with pytest.raises(TypeError):
         op.lookup(big, spark.createDataFrame([("1",)], "k string"), ["k"])
+    with pytest.raises(ValueError):
+        op.lookup(big.withColumn("v", F.lit("b")), small, ["k"])

@@ -47,6 +47,9 @@ def lookup(
       rows apart (by default the first that is no key). They spread over all partitions instead of
       meeting in one.
     """
+    shared = set(rows.columns) & set(reference.columns) - set(on)
+    if shared and how not in ("left_anti", "left_semi"):
+        raise ValueError(f"columns on both sides: {sorted(shared)}")
     slot = F.xxhash64(*[_hash_input(k, rows.schema[k].dataType, reference.schema[k].dataType) for k in on])
     if not null_safe:
         missing = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in on])

@@ -7,14 +7,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.functions import surrogate_key
 from vitrine.operators import (
-    check_accepted_values,
     check_relationships,
-    check_unique,
     check_unique_combination,
     converted_counts,
     diff_by_key,
@@ -28,6 +26,7 @@ from vitrine.plans.intermediate import purchases_in_usd
 from vitrine.plans.product import FUNNEL_STAGES
 from vitrine.plans.staging import KEY_NAMES, live
 from vitrine.plans.warehouse import LAYER_OF, Warehouse
+from vitrine.session import ensure_checkpoint_dir
 
 # The accepted sets.
 CHANNELS = ["paid_search", "paid_social", "email", "influencer", "affiliate"]
@@ -139,39 +138,78 @@ CHECKS: dict[str, list[Check]] = {
 }
 
 
+def passes(checks: list[Check]) -> tuple[dict[str, list[Check]], list[Check], list[Check]]:
+    """Checks by the pass that answers them: per counted column, all other NULL checks, one each."""
+    counted = {c.columns[0]: [] for c in checks if c.kind in ("unique", "accepted_values")}
+    filled, alone = [], []
+    for c in checks:
+        if c.kind in ("unique_combination", "relationships"):
+            alone.append(c)
+        elif c.columns[0] in counted:
+            counted[c.columns[0]].append(c)
+        else:
+            filled.append(c)
+    return counted, filled, alone
+
+
 def failures(table: str, df: DataFrame, checks: list[Check], parent: Callable[[str], DataFrame]) -> DataFrame:
-    """(check_name, failures) of one table. All NULL checks share one pass over it."""
-    filled = [c for c in checks if c.kind == "not_null"]
+    """(check_name, failures) of one table.
+
+    The counts per value of a column answer its NULL, uniqueness and accepted-value checks together; the
+    NULL checks of all other columns share one pass without a shuffle of rows.
+    """
+    counted, filled, alone = passes(checks)
+    zero = F.lit(0).cast("long")
     parts = []
-    if filled:
-        counts = df.agg(*[F.count_if(F.col(c.columns[0]).isNull()).alias(f"n{i}") for i, c in enumerate(filled)])
-        pairs = [
+
+    def emit(source: DataFrame, answers: list[tuple[Check, Column]]) -> None:
+        row = source.agg(*[answer.alias(f"n{i}") for i, (_, answer) in enumerate(answers)])
+        named = [
             F.struct(F.lit(c.name(table)).alias("check_name"), F.col(f"n{i}").alias("failures"))
-            for i, c in enumerate(filled)
+            for i, (c, _) in enumerate(answers)
         ]
-        parts.append(counts.select(F.explode(F.array(*pairs)).alias("_c")).select("_c.*"))
-    for c in checks:
-        rows = F.count(F.lit(1))
-        if c.kind == "unique":
-            bad = check_unique(df, c.columns[0])
-        elif c.kind == "accepted_values":
-            bad = check_accepted_values(df, c.columns[0], list(c.values))
-        elif c.kind == "unique_combination":
-            bad = check_unique_combination(df, list(c.columns))
-        elif c.kind == "relationships":
-            bad = check_relationships(df, c.columns[0], parent(c.parent[0]), c.parent[1])
-            rows = F.coalesce(F.sum("n_records"), F.lit(0).cast("long"))
+        parts.append(row.select(F.explode(F.array(*named)).alias("_c")).select("_c.*"))
+
+    if filled:
+        emit(df, [(c, F.count_if(F.col(c.columns[0]).isNull())) for c in filled])
+    for col, own in counted.items():
+        per_value = df.groupBy(F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
+        value = F.col("_v")
+        answers = []
+        for c in own:
+            if c.kind == "not_null":
+                answer = F.coalesce(F.sum(F.when(value.isNull(), F.col("_n"))), zero)
+            elif c.kind == "unique":
+                answer = F.count_if(value.isNotNull() & (F.col("_n") > 1))
+            else:
+                answer = F.count_if(~value.isin(list(c.values)))
+            answers.append((c, answer))
+        emit(per_value, answers)
+    for c in alone:
+        if c.kind == "unique_combination":
+            emit(check_unique_combination(df, list(c.columns)), [(c, F.count(F.lit(1)))])
         else:
-            continue
-        parts.append(bad.agg(rows.alias("failures")).select(F.lit(c.name(table)).alias("check_name"), "failures"))
+            orphans = check_relationships(df, c.columns[0], parent(c.parent[0]), c.parent[1])
+            emit(orphans, [(c, F.coalesce(F.sum("n_records"), zero))])
     return reduce(DataFrame.unionByName, parts)
 
 
 def table_failures(wh: Warehouse, table: str, df: DataFrame | None = None) -> DataFrame:
-    """Failures of the declared checks of ``table``."""
+    """Failures of the declared checks of ``table``.
+
+    A table that is not written yet is computed once for all passes: the checked columns are checkpointed
+    to the shared folder, unless one pass answers everything.
+    """
+    checks = CHECKS[table]
+    lazy = df is None and table not in wh.written
     if df is None:
         df = wh.fx_rates if table == "fx_rates" else wh[table]
-    return failures(table, df, CHECKS[table], lambda name: wh[name])
+    df = df.select(*dict.fromkeys(col for c in checks for col in c.columns))
+    counted, filled, alone = passes(checks)
+    if lazy and len(counted) + bool(filled) + len(alone) > 1:
+        ensure_checkpoint_dir(wh.spark)
+        df = df.checkpoint()
+    return failures(table, df, checks, lambda name: wh[name])
 
 
 # Invariant name -> (table it guards, function of a Warehouse returning the violating rows).

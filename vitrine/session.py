@@ -64,14 +64,20 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir``; a scratch one only where none is set."""
+    """The shared folder named by ``spark.checkpoint.dir``.
+
+    Where none is named, a local session takes a scratch folder and a cluster one beside its warehouse; a
+    cluster whose warehouse is a local path has no folder all executors reach, and is refused.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(folder)
-        return folder
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    folder = tempfile.mkdtemp(prefix="vitrine-checkpoint-")
-    spark.sparkContext.setCheckpointDir(folder)
+    if not folder:
+        if spark.sparkContext.master.startswith("local"):
+            folder = tempfile.mkdtemp(prefix="vitrine-checkpoint-")
+        else:
+            warehouse = spark.conf.get("spark.sql.warehouse.dir")
+            if warehouse.startswith(("/", "file:")):
+                raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
+            folder = f"{warehouse.rstrip('/')}/_checkpoints"
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(folder)
     return folder

@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vitrine.functions import ratio_or_null
+from vitrine.operators.percentiles import percentile_of_ranked, ranked
+
 
 def trailing_distinct(df: DataFrame, *, date: str, member: str, days: int = 7) -> DataFrame:
     """(date, daily, trailing): distinct members on the date, and over the ``days`` ending on it.
@@ -44,11 +47,11 @@ def cohort_percentiles(
 
     A row is 'new' on the member's first date for that entity, counting open rows, else 'returning'.
     Open rows set the first date but are not measured. ``probs`` maps output names to fractions.
+    ``value`` is a whole number (minutes, days, units).
 
     ``df`` is read once. Equal rows are counted before anything is grouped by member, and equal values
     again before the percentile: a busy member costs the window one row per date and distinct value, a
-    popular entity costs the percentile one row per distinct value. ``value`` is expected to be
-    integer-like (minutes, days, units).
+    popular entity costs the percentile one row per distinct value.
     """
     pair = [member, entity]
     counted = df.groupBy(*pair, date, is_open, value).agg(F.count(F.lit(1)).alias("_n"))
@@ -57,11 +60,11 @@ def cohort_percentiles(
     group = [date, entity, "user_cohort"]
     closed = counted.withColumn("user_cohort", cohort).filter(~F.col(is_open))
     per_value = closed.groupBy(*group, value).agg(F.sum("_n").alias("_n"))
-    n_valued = F.sum(F.when(F.col(value).isNotNull(), F.col("_n")))
-    return per_value.groupBy(*group).agg(
+    ranks = ranked(per_value, group, value, "_n")
+    return ranks.groupBy(*group).agg(
         F.sum("_n").alias("session_count"),
-        (F.sum((F.col(value) * F.col("_n"))).cast("double") / n_valued.cast("double")).alias("average"),
-        *[F.percentile(value, p, F.col("_n")).alias(name) for name, p in probs.items()],
+        ratio_or_null(F.sum(F.col(value) * F.col("_n")), F.max("_total")).alias("average"),
+        *[percentile_of_ranked(value, p).alias(name) for name, p in probs.items()],
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from vitrine.functions import ratio_or_zero
 from vitrine.operators.joins import lookup
+from vitrine.operators.percentiles import percentile_of_ranked, ranked
 
 
 def conversion(
@@ -66,13 +67,14 @@ def conversion(
         .groupBy(*group, "_days")
         .agg(F.sum("_n").alias("_n"))
     )
-    converted = F.coalesce(F.sum(F.when(F.col("_days").isNotNull(), F.col("_n"))), F.lit(0).cast("long"))
+    # NULL days are the starts that never convert; they rank nowhere and do not count in _total.
     return (
-        counted.groupBy(*group)
+        ranked(counted, group, "_days", "_n")
+        .groupBy(*group)
         .agg(
             F.sum("_n").alias("start_count"),
-            converted.alias("converted_count"),
-            F.percentile("_days", 0.5, F.col("_n")).alias("median_days_to_convert"),
+            F.max("_total").alias("converted_count"),
+            percentile_of_ranked("_days", 0.5).alias("median_days_to_convert"),
         )
         .withColumn("conversion_rate", ratio_or_zero("converted_count", "start_count"))
     )

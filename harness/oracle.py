@@ -404,17 +404,17 @@ from stg_wishlist_items where not is_deleted""",
   case when o_orderkey % 10 = 0 then 'model' else 'test' end as resource_type,
   case when o_orderkey % 7 = 0 then 'fail' else 'pass' end as status, o_orderdate as created_at from orders""",
         "test_registry": """select 'test.' || s_suppkey as unique_id,
-  'model.' || (s_suppkey % 30) as parent_model_unique_id from supplier""",
-        "model_registry": """select 'model.' || n_nationkey as unique_id, 'layer_' || n_regionkey as schema_name
-from nation""",
+  'model.' || (s_suppkey // 2 + 1) as parent_model_unique_id from supplier""",
+        "model_registry": """select 'model.' || s_suppkey as unique_id, 'layer_' || s_nationkey as schema_name
+from supplier""",
         "freshness_results": """select 'run.' || event_id as source_freshness_execution_id,
-  'source.' || (event_id % 30) as unique_id,
+  'source.' || user_id as unique_id,
   case event_type when 'error' then 'error' when 'click' then 'warn' else 'pass' end as status, ts as max_loaded_at,
   value as max_loaded_at_time_ago_in_s, ts + to_hours(1) as snapshotted_at,
   case when event_type = 'error' then 'no rows' end as error, ts + to_minutes(61) as created_at from events""",
-        "source_registry": """select 'source.' || n_nationkey as unique_id, 'store' as source_name,
-  lower(n_name) || '_' || g as name, 'layer_' || n_regionkey as schema_name,
-  TIMESTAMP '2024-01-01' + to_days(g) as generated_at from (select *, unnest([0, 1]) as g from nation)""",
+        "source_registry": """select 'source.' || s_suppkey as unique_id, 'store' as source_name,
+  lower(s_name) || '_' || g as name, 'layer_' || s_nationkey as schema_name,
+  TIMESTAMP '2024-01-01' + to_days(g) as generated_at from (select *, unnest([0, 1]) as g from supplier)""",
         "fct_dbt_test_results": """select r.created_at::date as run_date, m.schema_name,
   cast(count(*) as bigint) as test_count, cast(count(*) filter (r.status = 'pass') as bigint) as pass_count,
   count(*) filter (r.status = 'pass') / nullif(count(*), 0) as pass_rate

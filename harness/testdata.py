@@ -381,7 +381,7 @@ def fx_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def health(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Check-runner tables derived from orders, suppliers, nations and events."""
+    """Check-runner tables derived from orders, suppliers and events."""
     if name == "run_results":
         return table(spark, sf_dir, "orders").selectExpr(
             "concat('test.', o_custkey % 120) as unique_id",
@@ -392,16 +392,16 @@ def health(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name == "tests":
         return table(spark, sf_dir, "supplier").selectExpr(
             "concat('test.', s_suppkey) as unique_id",
-            "concat('model.', s_suppkey % 30) as parent_model_unique_id",
+            "concat('model.', s_suppkey div 2 + 1) as parent_model_unique_id",
         )
     if name == "models":
-        return table(spark, sf_dir, "nation").selectExpr(
-            "concat('model.', n_nationkey) as unique_id", "concat('layer_', n_regionkey) as schema_name"
+        return table(spark, sf_dir, "supplier").selectExpr(
+            "concat('model.', s_suppkey) as unique_id", "concat('layer_', s_nationkey) as schema_name"
         )
     if name == "source_freshness_results":
         return table(spark, sf_dir, "events").selectExpr(
             "concat('run.', event_id) as source_freshness_execution_id",
-            "concat('source.', event_id % 30) as unique_id",
+            "concat('source.', user_id) as unique_id",
             "if(event_type = 'error', 'error', if(event_type = 'click', 'warn', 'pass')) as status",
             "ts as max_loaded_at",
             "value as max_loaded_at_time_ago_in_s",
@@ -410,12 +410,12 @@ def health(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
             "ts + make_dt_interval(0, 1, 1) as created_at",
         )
     if name == "sources":
-        twice = table(spark, sf_dir, "nation").selectExpr("*", "explode(array(0, 1)) as g")
+        twice = table(spark, sf_dir, "supplier").selectExpr("*", "explode(array(0, 1)) as g")
         return twice.selectExpr(
-            "concat('source.', n_nationkey) as unique_id",
+            "concat('source.', s_suppkey) as unique_id",
             "'store' as source_name",
-            "concat(lower(n_name), '_', g) as name",
-            "concat('layer_', n_regionkey) as schema_name",
+            "concat(lower(s_name), '_', g) as name",
+            "concat('layer_', s_nationkey) as schema_name",
             "timestamp'2024-01-01' + make_dt_interval(g) as generated_at",
         )
     raise KeyError(name)

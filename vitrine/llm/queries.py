@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.llm import decontamination, packing, robust_rules
+from vitrine.llm import decontamination, packing, robust_rules, suffix_dedup, warc
 
 #: The public tokenizer that the packing query counts with.
 TOKENIZER = "byte_bpe_50k.json"
@@ -26,6 +26,14 @@ def op3_robust_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op4_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.digest(warc.round_trip(_read(spark, sf_dir, "pages")))
+
+
+def op7_prefix_doubling_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.remove_repeats(_read(spark, sf_dir, "documents")))
+
+
 def op9_prefix_join_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(decontamination.contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")))
 
@@ -35,6 +43,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op2_minimum_bin_slack_packing,
         op3_robust_quality_rules,
+        op4_warc_round_trip,
+        op7_prefix_doubling_dedup,
         op9_prefix_join_decontamination,
     )
 }
@@ -42,6 +52,36 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE: dict[str, str] = {
+    "op4_warc_round_trip": """
+        with payload as (select page_id, coalesce(html, '') as body from pages),
+        last as (select body, max(page_id) as response from payload where strlen(body) >= 1000 group by 1)
+        select page_id, strlen(payload.body)::bigint as payload_bytes, sha1(payload.body) as payload_digest,
+               case when page_id < response then 'revisit' else 'response' end as record_type,
+               case when page_id < response then response end as refers_to
+        from payload left join last on last.body = payload.body
+    """,
+    "op7_prefix_doubling_dedup": """
+        with doc as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
+        starts as (
+            select doc_id, p, hash(substr(h, 2 * p + 1, 200)) as a, md5(substr(h, 2 * p + 1, 200)) as b
+            from (select doc_id, h, unnest(range(0, length(h) // 2 - 99)) as p from doc where length(h) >= 200)
+        ),
+        again as (select doc_id, p from starts qualify row_number() over (partition by a, b order by doc_id, p) > 1),
+        fresh as (select doc_id, p, coalesce(p - lag(p) over (partition by doc_id order by p) > 100, true) as gap from again),
+        numbered as (select doc_id, p, sum(gap::int) over (partition by doc_id order by p) as span from fresh),
+        spans as (select doc_id, span, min(p) as low, max(p) + 100 as high from numbered group by 1, 2),
+        parts as (
+            select doc_id, low, high, coalesce(lag(high) over (partition by doc_id order by low), 0) as since from spans
+        ),
+        cut as (
+            select doc.doc_id, sum(high - low) as n_removed, count(*) as n_spans,
+                   string_agg(substr(h, 2 * since + 1, 2 * (low - since)), '' order by low) || substr(any_value(h), 2 * max(high) + 1) as kept
+            from parts join doc on doc.doc_id = parts.doc_id group by 1
+        )
+        select doc.doc_id, (length(h) // 2)::bigint as n_bytes, coalesce(n_removed, 0)::bigint as n_removed,
+               coalesce(n_spans, 0)::bigint as n_spans, sha256(unhex(coalesce(kept, h))) as kept_sha256
+        from doc left join cut on cut.doc_id = doc.doc_id
+    """,
     "op9_prefix_join_decontamination": rf"""
         with doc as (
             select doc_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words from documents

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from vitrine.llm import decontamination, packing, robust_rules, suffix_dedup, warc
+from vitrine.llm import decontamination, near_dups, packing, robust_rules, suffix_dedup, warc
 
 #: The public tokenizer that the packing query counts with.
 TOKENIZER = "byte_bpe_50k.json"
@@ -30,6 +30,10 @@ def op4_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.digest(warc.round_trip(_read(spark, sf_dir, "pages")))
 
 
+def op5_bottom_k_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dups.near_duplicates(_read(spark, sf_dir, "documents"), percent=85)
+
+
 def op7_prefix_doubling_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.remove_repeats(_read(spark, sf_dir, "documents")))
 
@@ -44,6 +48,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_minimum_bin_slack_packing,
         op3_robust_quality_rules,
         op4_warc_round_trip,
+        op5_bottom_k_near_duplicates,
         op7_prefix_doubling_dedup,
         op9_prefix_join_decontamination,
     )
@@ -60,6 +65,26 @@ ORACLE: dict[str, str] = {
                case when page_id < response then response end as refers_to
         from payload left join last on last.body = payload.body
     """,
+    "op5_bottom_k_near_duplicates": rf"""
+        with recursive doc as (
+            select doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') as words from documents
+        ), shingle as (
+            select distinct doc_id, words[i : i + 4] as s
+            from (select doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) as i from doc where len(words) > 0)
+        ), sizes as (select doc_id, count(*) as n from shingle group by 1),
+        common as (
+            select a.doc_id as a, b.doc_id as b, count(*) as n from shingle a join shingle b on a.s = b.s and a.doc_id < b.doc_id group by 1, 2
+        ), link as (
+            select a, b from common join sizes x on x.doc_id = a join sizes y on y.doc_id = b where 100 * common.n >= 85 * (x.n + y.n - common.n)
+        ), both_ways as (select a, b from link union all select b, a from link),
+        reach as (
+            select doc_id as node, doc_id as root from documents
+            union
+            select both_ways.b, reach.root from reach join both_ways on both_ways.a = reach.node where reach.root < both_ways.b
+        ), component as (select node, min(root) as component_id from reach group by 1)
+        select doc.doc_id, coalesce(sizes.n, 0)::bigint as n_shingles, component_id, doc.doc_id = component_id as kept
+        from doc join component on node = doc.doc_id left join sizes on sizes.doc_id = doc.doc_id
+    """,
     "op7_prefix_doubling_dedup": """
         with doc as (select doc_id, hex(encode(coalesce(text, ''))) as h from documents),
         starts as (

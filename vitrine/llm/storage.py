@@ -10,14 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 def shared_folder(spark: SparkSession) -> str:
     """The session's checkpoint folder. Only a local session that names none gets one of its own."""
-    named = spark.sparkContext._jsc.sc().getCheckpointDir()
-    folder = named.get() if named.isDefined() else spark.conf.get("spark.checkpoint.dir", None)
+    context = spark.sparkContext
+    folder = named = context.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not context.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="vitrine-llm-")
-    if not named.isDefined():
-        spark.sparkContext.setCheckpointDir(folder)
+    if not named:
+        context.setCheckpointDir(folder)
     return folder
 
 

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vitrine.llm import decontamination, near_dups, packing, robust_rules, suffix_dedup, warc
+from vitrine.llm import decontamination, html_text, near_dups, packing, quality_fm, robust_rules, suffix_dedup, warc
 
 #: The public tokenizer that the packing query counts with.
 TOKENIZER = "byte_bpe_50k.json"
@@ -17,6 +18,10 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def op1_factorisation_machine_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_fm.quality_scores(_read(spark, sf_dir, "documents").select("doc_id", "text", "n_chars"), _read(spark, sf_dir, "labels"))
+
+
 def op2_minimum_bin_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(_read(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
@@ -42,15 +47,22 @@ def op9_prefix_join_decontamination(spark: SparkSession, sf_dir: str) -> DataFra
     return decontamination.digest(decontamination.contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")))
 
 
+def op10_consensus_path_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = html_text.main_text(_read(spark, sf_dir, "pages"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
+        op1_factorisation_machine_quality,
         op2_minimum_bin_slack_packing,
         op3_robust_quality_rules,
         op4_warc_round_trip,
         op5_bottom_k_near_duplicates,
         op7_prefix_doubling_dedup,
         op9_prefix_join_decontamination,
+        op10_consensus_path_text,
     )
 }
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import decontamination, html_text, near_dups, packing, quality_fm, robust_rules, suffix_dedup, warc
+from vitrine.llm import decontamination, html_text, near_dups, packing, quality_fm, robust_rules, sharding, suffix_dedup, toxicity, warc
 
 #: The public tokenizer that the packing query counts with.
 TOKENIZER = "byte_bpe_50k.json"
@@ -39,10 +39,24 @@ def op5_bottom_k_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dups.near_duplicates(_read(spark, sf_dir, "documents"), percent=85)
 
 
+#: Shards of the placement query, and how they stand after one more has joined.
+SHARDS = [f"shard-{k:03d}" for k in range(64)]
+SLOTS = 4099
+
+
+def op6_permutation_table_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _read(spark, sf_dir, "documents").select("doc_id")
+    return sharding.moved(rows, ["doc_id"], SHARDS, [*SHARDS, "shard-064"], SLOTS)
+
+
 def op7_prefix_doubling_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.digest(suffix_dedup.remove_repeats(_read(spark, sf_dir, "documents")))
 
 
+def op8_recurrent_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_scores(_read(spark, sf_dir, "documents").select("doc_id", "text"), _read(spark, sf_dir, "labels"))
+
+
 def op9_prefix_join_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.digest(decontamination.contamination(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark")))
 
@@ -60,7 +74,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op3_robust_quality_rules,
         op4_warc_round_trip,
         op5_bottom_k_near_duplicates,
+        op6_permutation_table_shards,
         op7_prefix_doubling_dedup,
+        op8_recurrent_toxicity,
         op9_prefix_join_decontamination,
         op10_consensus_path_text,
     )

@@ -135,8 +135,8 @@ def choose_prefix(index: Index, counts: np.ndarray) -> Index:
     return index
 
 
-def scan(index: Index):
-    """Adds the hits of one block to rows of (doc, text, spans, items)."""
+def scan(index: Index, carry: list[str]):
+    """Adds the hits of one block to rows of (doc, text, spans, items) and the columns carried along."""
 
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sizes = np.minimum(index.length, SHINGLE)
@@ -185,8 +185,9 @@ def scan(index: Index):
                     pa.array(words.last - words.first, pa.int64()),
                     pa.array([[*old, *new] for old, new in zip(batch.column("spans").to_pylist(), spans, strict=True)], kind),
                     pa.array([sorted({*old, *new}) for old, new in zip(batch.column("items").to_pylist(), items, strict=True)], pa.list_(pa.int64())),
+                    *(batch.column(c) for c in carry),
                 ],
-                ["doc", "text", "n_words", "spans", "items"],
+                ["doc", "text", "n_words", "spans", "items", *carry],
             )
 
     return join
@@ -201,8 +202,13 @@ def contamination(
     item_text: str = "text",
     size: int = 10,
     block_bytes: int = 16 << 20,
+    carry: tuple[str, ...] = (),
 ) -> DataFrame:
-    """For each row of documents: its id, n_words, ``spans`` (runs of hit words, from and to) and ``item_ids`` found."""
+    """For each row of documents: its id, n_words, ``spans`` (runs of hit words, from and to) and ``item_ids`` found.
+
+    The columns ``carry`` of documents come along.
+    """
+    names = [f"_in_{i}" for i in range(len(carry))]
     items = benchmark.select(F.col(item_id).cast("long").alias("item"), F.col(item_text).alias("text"))
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-total // block_bytes))
@@ -212,13 +218,14 @@ def contamination(
         F.lit(0).cast("long").alias("n_words"),
         F.array().cast("array<struct<start:long,end:long>>").alias("spans"),
         F.array().cast("array<long>").alias("items"),
+        *(F.col(c).alias(n) for c, n in zip(carry, names, strict=True)),
     )
     schema = rows.schema
     for block in range(blocks):
         part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block)
         index = index_of([(r[0], r[1]) for r in part.collect()], size)  # at most about block_bytes
         counts = count_tokens(documents, index, text) if len(index.tokens) else np.zeros(0, np.int64)
-        rows = rows.mapInArrow(scan(choose_prefix(index, counts)), schema)
+        rows = rows.mapInArrow(scan(choose_prefix(index, counts), names), schema)
     spans = F.array_sort("spans")
     if blocks > 1:  # runs of several blocks may touch or overlap
         def joined(done, span):
@@ -228,7 +235,7 @@ def contamination(
             ).otherwise(F.concat(done, F.array(span)))
 
         spans = F.aggregate(spans, F.array().cast("array<struct<start:long,end:long>>"), joined)
-    return rows.select(F.col("doc").alias(doc_id), "n_words", spans.alias("spans"), F.col("items").alias("item_ids"))
+    return rows.select(F.col("doc").alias(doc_id), "n_words", spans.alias("spans"), F.col("items").alias("item_ids"), *(F.col(n).alias(c) for c, n in zip(carry, names, strict=True)))
 
 
 def digest(found: DataFrame, doc_id: str = "doc_id") -> DataFrame:

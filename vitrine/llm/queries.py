@@ -85,6 +85,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 _LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLE: dict[str, str] = {
+    # The table itself is compared with a plain filling in the tests; here it is a given.
+    "op6_permutation_table_shards": f"""
+        with slots as (select {sharding.lookup_table(SHARDS, SLOTS)} as old, {sharding.lookup_table([*SHARDS, "shard-064"], SLOTS)} as new),
+        hashed as (
+            select doc_id, (('0x' || md5(coalesce(length(doc_id::varchar) || ':' || doc_id::varchar, '-'))[1:15])::bigint % {SLOTS})::bigint as slot from documents
+        )
+        select doc_id, slot, printf('shard-%03d', old[slot + 1]) as shard, printf('shard-%03d', new[slot + 1]) as next_shard from hashed, slots
+    """,
     "op4_warc_round_trip": """
         with payload as (select page_id, coalesce(html, '') as body from pages),
         last as (select body, max(page_id) as response from payload where strlen(body) >= 1000 group by 1)

@@ -251,18 +251,17 @@ def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(distance, mask=~known)], [*names, "distance"])
 
 
-def robust_rules(
-    documents: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", cutoff: float = 50.0, kept_share: float = 0.75, steps: int = 4, least_rows: int = 200, max_groups: int = 2000
-) -> DataFrame:
-    """All columns of documents but the text, with COUNTS, ``base_failed``, ``distance`` (squared) and ``kept``."""
-    keep = [c for c in documents.columns if c != text]
+def _prepared(documents: DataFrame, text: str, keep: list[str], lang: str, source: str) -> tuple[DataFrame, list[str]]:
+    """COUNTS and FEATURES of all rows, with their groups and the columns ``keep`` under names of our own."""
     names = [f"_in_{i}" for i in range(len(keep))]
-    renamed = documents.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)), F.col(text).alias("text"))
-    measured = settled(text_statistics(renamed, "text", tuple(names)))
-    key = lambda c: F.coalesce(F.concat(F.lit("="), F.col(names[keep.index(c)]).cast("string")), F.lit("null"))
-    vectors = measured.withColumn("lang_grp", F.concat(F.lit("lang "), key(lang))).withColumn("grp", F.concat_ws(" ", "lang_grp", F.lit("source"), key(source)))
-    parameters = fit(vectors.where(F.col("n_words") > 0), kept_share, steps, least_rows, max_groups)
-    joined = _joined(vectors, _table(documents.sparkSession, parameters, {}), len(parameters), max_groups, "left")
+    renamed = documents.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)), F.col(f"`{lang}`").alias("_lang"), F.col(f"`{source}`").alias("_source"), F.col(text).alias("text"))
+    key = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null"))
+    measured = text_statistics(renamed, "text", (*names, "_lang", "_source")).withColumn("lang_grp", F.concat(F.lit("lang "), key("_lang")))
+    return measured.withColumn("grp", F.concat_ws(" ", "lang_grp", F.lit("source"), key("_source"))).drop("_lang", "_source"), names
+
+
+def _judged(vectors: DataFrame, names: list[str], keep: list[str], parameters: dict, cutoff: float, max_groups: int) -> DataFrame:
+    joined = _joined(vectors, _table(vectors.sparkSession, parameters, {}), len(parameters), max_groups, "left")
     columns = [*names, *COUNTS, *FEATURES, "p"]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in joined.select(*columns[:-1]).schema), "distance double"])
     scored = joined.select(*columns).mapInArrow(_score, schema)
@@ -274,3 +273,24 @@ def robust_rules(
         "distance",
         (~base & (F.coalesce("distance", F.lit(0.0)) <= cutoff)).alias("kept"),
     )
+
+
+def robust_rules(
+    documents: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", cutoff: float = 50.0, kept_share: float = 0.75, steps: int = 4, least_rows: int = 200, max_groups: int = 2000
+) -> DataFrame:
+    """All columns of documents but the text, with COUNTS, ``base_failed``, ``distance`` (squared) and ``kept``."""
+    keep = [c for c in documents.columns if c != text]
+    prepared, names = _prepared(documents, text, keep, lang, source)
+    vectors = settled(prepared)
+    return _judged(vectors, names, keep, fit(vectors.where("n_words > 0"), kept_share, steps, least_rows, max_groups), cutoff, max_groups)
+
+
+def keep_good(
+    documents: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", cutoff: float = 50.0, kept_share: float = 0.75, steps: int = 4, least_rows: int = 200, max_groups: int = 2000
+) -> DataFrame:
+    """The rows of documents that the rules keep. Texts are measured again in the pass that filters them, not shuffled."""
+    thin, _ = _prepared(documents, text, [], lang, source)
+    parameters = fit(settled(thin).where("n_words > 0"), kept_share, steps, least_rows, max_groups)
+    whole, names = _prepared(documents, text, documents.columns, lang, source)
+    judged = _judged(whole, names, [f"_out_{i}" for i in range(len(names))], parameters, cutoff, max_groups).where("kept")
+    return judged.select(*(F.col(f"_out_{i}").alias(c) for i, c in enumerate(documents.columns)))

@@ -31,14 +31,23 @@ from vitrine.llm.text import BYTE_VALUES, PLACE_VALUES, Texts, mix, slices, text
 
 PIECES = "doc long, start long, length long, ids_crc32 long, doc_tokens long"
 #: Units of text whose ids a worker remembers, at most.
-REMEMBERED = 300_000
+REMEMBERED = 600_000
+
+
+_LETTER = np.zeros(256, bool)
+_LETTER[[*range(0x41, 0x5B), *range(0x61, 0x7B)]] = True
+_MARK = np.zeros(256, bool)
+_MARK[list(b"!#$%&*+,-./:;<=>?@|")] = True
+#: A text that any unit may follow: what a unit's first characters look like decides which.
+_AFTER_LETTER, _AFTER_LINE = b" a", b" a\n"
 
 
 class Units:
     """Token ids of whole texts, from the ids of units that repeat.
 
-    A unit begins at a blank before a visible ASCII character, or at a blank between a visible ASCII character and
-    a multi-byte one. The byte-level pattern never puts characters on both sides of such a place into one token, so that
+    A unit begins at a blank before a visible ASCII character; at a blank between a visible ASCII character and a
+    multi-byte one; at a mark after an ASCII letter; and behind a single line end between visible ASCII characters. The
+    byte-level pattern never puts characters on both sides of such a place into one token, nor does it look across, so that
     the ids of a text are those of its units, one after the other.
     """
 
@@ -48,23 +57,56 @@ class Units:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # text that spells a special token is ordinary text
+        # A byte-level token has a character for each byte that it stands for.
+        self.bytes_of = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(self.tokenizer.get_vocab_size())], np.int64)
         self.forget()
 
     def forget(self) -> None:
         self.place: dict[bytes, int] = {}
         self.ids = np.zeros(1 << 16, np.uint32)
-        self.used = 0
-        self.bounds: list[int] = [0]
+        self.bounds = np.zeros(1 << 16, np.int64)
+
+    def _append(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        known = len(self.place)
+        used = int(self.bounds[known])
+        while used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        while known + len(sizes) >= len(self.bounds):
+            self.bounds = np.concatenate([self.bounds, np.zeros_like(self.bounds)])
+        self.ids[used : used + len(ids)] = ids
+        self.bounds[known + 1 : known + 1 + len(sizes)] = used + np.cumsum(sizes)
 
     def learn(self, units: list[bytes]) -> None:
-        for got in self.tokenizer.encode_batch([u.decode() for u in units], add_special_tokens=False):
-            ids = got.ids
-            while self.used + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.ids[self.used : self.used + len(ids)] = ids
-            self.used += len(ids)
-            self.bounds.append(self.used)
+        """Ids of new units, as parts of longer texts that are cut only where texts are."""
+        parts: list[bytes] = []
+        mine: list[bool] = []
+        joined: list[bytes] = []
+        alone: list[bytes] = []
         for u in units:
+            first, second = u[0], u[1] if len(u) > 1 else 0
+            if first == 0x20 and 0x20 < second < 0x7F:
+                before = b""
+            elif (first == 0x20 and second >= 0x80) or _MARK[first]:
+                before = _AFTER_LETTER
+            elif 0x20 < first < 0x7F:
+                before = _AFTER_LINE
+            else:
+                alone.append(u)
+                continue
+            parts += [before, u]
+            mine += [False, True]
+            joined.append(u)
+        if joined:
+            texts = [b"".join(parts[i : i + 400]).decode() for i in range(0, len(parts), 400)]
+            ids = np.concatenate([np.array(x.ids, np.int64) for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)])
+            start = np.cumsum(self.bytes_of[ids]) - self.bytes_of[ids]
+            part = np.searchsorted(np.cumsum([len(x) for x in parts]), start, side="right")
+            own = np.array(mine)
+            self._append(ids[own[part]].astype(np.uint32), np.bincount(part, minlength=len(parts))[own])
+            self.place.update(zip(joined, range(len(self.place), len(self.place) + len(joined)), strict=True))
+        for u in alone:
+            ids = self.tokenizer.encode(u.decode(), add_special_tokens=False).ids
+            self._append(np.array(ids, np.uint32), np.array([len(ids)]))
             self.place[u] = len(self.place)
 
     def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
@@ -75,20 +117,24 @@ class Units:
         visible = (buf > 0x20) & (buf < 0x7F)
         cut = np.zeros(len(buf), bool)
         cut[1:-1] = (buf[1:-1] == 0x20) & (visible[2:] | (visible[:-2] & (buf[2:] >= 0x80)))
+        cut[1:] |= _MARK[buf[1:]] & _LETTER[buf[:-1]]
+        cut[2:] |= visible[2:] & (buf[1:-1] == 0x0A) & visible[:-2]
         cut[texts.start[texts.start < texts.end]] = True
         start = np.flatnonzero(cut)
         end = np.append(start[1:], len(buf))
         place = np.arange(len(buf)) - np.repeat(start, end - start)
-        value = BYTE_VALUES[buf] * PLACE_VALUES[place & 4095] * (2 * (place >> 12) + 1).astype(np.uint64)
+        value = BYTE_VALUES[buf] * PLACE_VALUES[place & 4095]
+        if int((end - start).max()) > 4096:
+            value *= (2 * (place >> 12) + 1).astype(np.uint64)
         hashes = mix(np.add.reduceat(value, start)) + (end - start).astype(np.uint64)
         _, one, which = np.unique(hashes, return_index=True, return_inverse=True)
-        keys = [buf[a:b].tobytes() for a, b in zip(start[one].tolist(), end[one].tolist(), strict=True)]
+        whole = buf.tobytes()
+        keys = [whole[a:b] for a, b in zip(start[one].tolist(), end[one].tolist(), strict=True)]
         if len(self.place) + len(keys) > REMEMBERED:
             self.forget()
         self.learn([k for k in keys if k not in self.place])
-        bounds = np.array(self.bounds)
-        at = np.array([self.place[k] for k in keys])
-        low, size = bounds[at][which], (bounds[at + 1] - bounds[at])[which]
+        at = np.fromiter((self.place[k] for k in keys), np.int64, len(keys))
+        low, size = self.bounds[at][which], (self.bounds[at + 1] - self.bounds[at])[which]
         total = np.cumsum(size)
         ids = self.ids[np.repeat(low - (total - size), size) + np.arange(total[-1])]
         units = np.searchsorted(start, texts.end)

@@ -40,9 +40,9 @@ DIGIT[0x30:0x3A] = True
 
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 #: Transformed statistics, in thousandths.
-FEATURES = ["f_length", "f_word", "f_symbol", "f_repeat", "f_line", "f_upper", "f_punct", "f_digit", "f_variety"]
+FEATURES = ["f_length", "f_word", "f_symbol", "f_repeat", "f_line", "f_upper", "f_punct", "f_digit", "f_variety", "f_stutter"]
 #: Deviations below these (in thousandths) are never unusual: the least spread of each statistic.
-FLOOR = [700, 500, 60, 120, 200, 60, 80, 150, 35]
+FLOOR = [700, 500, 60, 120, 200, 60, 80, 150, 35, 90]
 
 
 def _ratio(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -78,6 +78,8 @@ def statistics(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
     first = np.ones(len(order), bool)
     first[1:] = (words.hash[order][1:] != words.hash[order][:-1]) | (own[order][1:] != own[order][:-1])
     n_distinct = np.bincount(own[order[first]], minlength=n)
+    same = np.flatnonzero((words.hash[1:] == words.hash[:-1]) & (own[1:] == own[:-1]))
+    n_stutter = np.bincount(own[same], minlength=n)
     dup_lines, lines = np.zeros(n, np.int64), np.zeros(n, np.int64)
     for i in range(n):
         held: set[bytes] = set()
@@ -102,6 +104,7 @@ def statistics(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
         "f_digit": milli(np.sqrt(_ratio(digit, chars))),
         # what the variety of words lacks of what a text of that length has (Herdan's C)
         "f_variety": milli(_ratio(np.log1p(n_distinct), np.log1p(n_words))),
+        "f_stutter": milli(np.sqrt(_ratio(n_stutter, n_words))),
     }
     return out
 
@@ -276,17 +279,20 @@ def _judged(vectors: DataFrame, names: list[str], keep: list[str], parameters: d
 
 
 def robust_rules(
-    documents: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", cutoff: float = 50.0, kept_share: float = 0.75, steps: int = 4, least_rows: int = 200, max_groups: int = 2000
+    documents: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", cutoff: float = 40.0, kept_share: float = 0.75, steps: int = 4, least_rows: int = 200, max_groups: int = 2000
 ) -> DataFrame:
-    """All columns of documents but the text, with COUNTS, ``base_failed``, ``distance`` (squared) and ``kept``."""
-    keep = [c for c in documents.columns if c != text]
+    """All columns of documents but the text, with COUNTS, ``base_failed``, ``distance`` (squared) and ``kept``.
+
+    A column of documents that is named like one of these gives way to it.
+    """
+    keep = [c for c in documents.columns if c not in (text, *COUNTS, "base_failed", "distance", "kept")]
     prepared, names = _prepared(documents, text, keep, lang, source)
     vectors = settled(prepared)
     return _judged(vectors, names, keep, fit(vectors.where("n_words > 0"), kept_share, steps, least_rows, max_groups), cutoff, max_groups)
 
 
 def keep_good(
-    documents: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", cutoff: float = 50.0, kept_share: float = 0.75, steps: int = 4, least_rows: int = 200, max_groups: int = 2000
+    documents: DataFrame, text: str = "text", lang: str = "lang", source: str = "source", cutoff: float = 40.0, kept_share: float = 0.75, steps: int = 4, least_rows: int = 200, max_groups: int = 2000
 ) -> DataFrame:
     """The rows of documents that the rules keep. Texts are measured again in the pass that filters them, not shuffled."""
     thin, _ = _prepared(documents, text, [], lang, source)

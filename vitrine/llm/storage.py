@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,5 +31,17 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of steps that have been settled and that nothing refers to any more.
+
+    Its cleaner acts on what the driver's garbage collectors find, by default every half hour. Python's references reach the
+    JVM with some delay, hence the second round.
+    """
+    for _ in range(2):
+        gc.collect()
+        time.sleep(0.5)
+        spark.sparkContext._jvm.System.gc()
+
+
 def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"

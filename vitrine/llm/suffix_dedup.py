@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.llm.storage import settled
+from vitrine.llm.storage import release, settled
 from vitrine.llm.text import Texts, mix, rolling, runs, slices, sliding, texts_of
 
 _SEGMENT = 1 << 16
@@ -264,8 +264,8 @@ def _first_positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
             yield batch.filter(pa.array(new)).select(["doc", "at"])
 
 
-def _cut(threshold: int):
-    """Applies all marks: (doc, n_bytes, spans, kept)."""
+def _cut(threshold: int, carry: list[str], as_text: bool):
+    """Applies all marks: (doc, n_bytes, spans, kept) and the columns carried along."""
     spans_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -298,36 +298,55 @@ def _cut(threshold: int):
                 else:
                     spans.append([])
                     kept.append(own.tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc"), pa.array(texts.end - texts.start), pa.array(spans, spans_type), pa.array(kept, pa.binary())], ["doc", "n_bytes", "spans", "kept"]
-            )
+            left = pa.array([x.decode("utf-8", "ignore") for x in kept], pa.string()) if as_text else pa.array(kept, pa.binary())
+            columns = [batch.column("doc"), pa.array(texts.end - texts.start), pa.array(spans, spans_type), left]
+            yield pa.RecordBatch.from_arrays([*columns, *(batch.column(c) for c in carry)], ["doc", "n_bytes", "spans", "kept", *carry])
 
     return cut
 
 
+def _codes(docs: DataFrame, threshold: int, most_votes: int, fold_bytes: int) -> DataFrame:
+    """Rounds 1 and 2: (doc, codes) of texts with anchors that are repeats or open."""
+    votes = docs.mapInArrow(_votes(threshold, most_votes, fold_bytes), "rank long, triple long, doc long, at long, kind long")
+    judged = votes.repartition("rank").sortWithinPartitions("rank", "triple", "doc", "at").mapInArrow(_judge, "doc long, code long")
+    return settled(judged.groupBy("doc").agg(F.collect_list("code").alias("codes")))  # at most a text's own positions
+
+
 def remove_repeats(
-    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: int = 100, most_votes: int = 16, fold_bytes: int = 24 << 20
+    documents: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    threshold: int = 100,
+    carry: tuple[str, ...] = (),
+    as_text: bool = False,
+    most_votes: int = 16,
+    fold_bytes: int = 24 << 20,
 ) -> DataFrame:
-    """For each row of documents: its id, ``n_bytes``, the byte ranges removed (``spans``) and the bytes ``kept``."""
-    rows = documents.select(F.col(doc_id).alias("id"), F.col(text).alias("text"))
+    """For each row of documents: its id, ``n_bytes``, the byte ranges removed (``spans``) and the bytes ``kept``.
+
+    ``as_text`` gives ``kept`` as a string, without what a cut has left of characters of several bytes. The columns
+    ``carry`` come along.
+    """
+    names = [f"_in_{i}" for i in range(len(carry))]
+    rows = documents.select(F.col(doc_id).alias("id"), F.col(text).alias("text"), *(F.col(c).alias(n) for c, n in zip(carry, names, strict=True)))
+    kind = {f.name: f.dataType.simpleString() for f in rows.schema}
     ids = rows.groupBy("id").agg(F.count("*").alias("n")).where("n > 1 or id is null")
-    clean = rows.schema["id"].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint") and not ids.take(1)
+    clean = kind["id"] in ("bigint", "int", "smallint", "tinyint") and not ids.take(1)
     if clean:
-        docs = rows.select(F.col("id").cast("long").alias("doc"), "text")
+        docs = rows.withColumn("doc", F.col("id").cast("long"))
     else:  # numbers that rise with the order of rows
-        numbered = settled(rows.orderBy(F.col("id").asc_nulls_last(), "text").withColumn("doc", F.monotonically_increasing_id()))
-        docs = numbered.select("doc", "text")
-    votes = docs.mapInArrow(_votes(threshold, most_votes, fold_bytes), "rank long, triple long, doc long, at long, kind long")
-    judged = votes.repartition("rank").sortWithinPartitions("rank", "triple", "doc", "at").mapInArrow(_judge, "doc long, code long")
-    codes = settled(judged.groupBy("doc").agg(F.collect_list("code").alias("codes")))  # at most a text's own positions
-    marked = docs.join(codes, "doc", "left")
+        docs = settled(rows.orderBy(F.col("id").asc_nulls_last(), "text").withColumn("doc", F.monotonically_increasing_id()))
+    codes = _codes(docs.select("doc", "text"), threshold, most_votes, fold_bytes)
+    release(documents.sparkSession)  # of rounds 1 and 2 nothing else is needed
+    carried = names if clean else [*names, "id"]
+    marked = docs.select("doc", "text", *carried).join(codes, "doc", "left")
     windows = marked.mapInArrow(_open_windows(threshold, fold_bytes), "first long, second long, doc long, at long")
     firsts = windows.repartition("first", "second").sortWithinPartitions("first", "second", "doc", "at").mapInArrow(_first_positions, "doc long, at long")
     firsts = firsts.groupBy("doc").agg(F.collect_list("at").alias("firsts"))
-    done = marked.join(firsts, "doc", "left").mapInArrow(_cut(threshold), "doc long, n_bytes long, spans array<struct<start:long,end:long>>, kept binary")
-    if not clean:
-        done = done.join(numbered.select("doc", "id"), "doc").drop("doc").withColumnRenamed("id", "doc")
-    return done.select(F.col("doc").alias(doc_id), "n_bytes", "spans", "kept")
+    schema = ", ".join(["doc long, n_bytes long, spans array<struct<start:long,end:long>>", f"kept {'string' if as_text else 'binary'}", *(f"{c} {kind[c]}" for c in carried)])
+    done = marked.join(firsts, "doc", "left").mapInArrow(_cut(threshold, carried, as_text), schema)
+    identity = F.col("doc").cast(kind["id"]) if clean else F.col("id")
+    return done.select(identity.alias(doc_id), "n_bytes", "spans", "kept", *(F.col(n).alias(c) for c, n in zip(carry, names, strict=True)))
 
 
 def digest(found: DataFrame, doc_id: str = "doc_id") -> DataFrame:

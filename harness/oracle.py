@@ -142,7 +142,7 @@ def _landing_relations() -> dict[str, str]:
     shift = "case when o_orderkey % 500 = 0 then -1 else cast(o_orderkey % 45 as integer) end"
     refunded = f"({BOUGHT} + to_days({shift}))"
     out["refunds"] = landed(
-        emitted("orders", "o_orderkey", "o_orderstatus = 'F'"),
+        emitted("orders", "o_orderkey"),
         "o_orderkey",
         "o_orderkey % 53 = 0",
         refunded,
@@ -163,7 +163,7 @@ def _landing_relations() -> dict[str, str]:
         {
             "id": "o_orderkey",
             "game_id": "case when o_orderkey % 97 = 0 then -1 else o_orderkey % 100 end",
-            "region": "'R' || ((o_orderkey // 100) % 5)",
+            "region": "case when o_orderkey % 79 = 0 then null else 'R' || ((o_orderkey // 100) % 5) end",
             "currency": "'USD'",
             "old_price_cents": "case when o_orderkey % 4 = 0 then null else cast(round(o_totalprice) as bigint) end",
             "new_price_cents": "cast(round(o_totalprice) as bigint) + 1 + v",
@@ -218,7 +218,6 @@ def _landing_relations() -> dict[str, str]:
             ),
             "recorded_at": RECORDED,
         },
-        "event_type in ('click', 'signup')",
     )
     out["ownership_grants"] = from_events(
         "event_id % 83 = 0",
@@ -235,7 +234,6 @@ def _landing_relations() -> dict[str, str]:
             "revoked_at": "case when event_id % 9 = 0 then ts + to_days(5) end",
             "recorded_at": RECORDED,
         },
-        "event_type = 'purchase'",
     )
     out["playtime_sessions"] = from_events(
         "event_id % 83 = 0",
@@ -471,10 +469,10 @@ left join int_users_campaign_attribution a on a.marketing_campaign_key = c.marke
 left join fct_purchases p on p.user_key = a.user_key
 group by c.marketing_campaign_key, c.channel""",
         "bought_daily": """select p.purchase_date as d, u.country, false as flag,
-  cast(round(round(sum(p.amount_usd), 6) * 100) as bigint) as cents, cast(count(*) as bigint) as n
+  cast(round(sum(cast(p.amount_usd as decimal(28, 6))) * 100) as bigint) as cents, cast(count(*) as bigint) as n
 from fct_purchases p join dim_users u on u.user_key = p.user_key group by all""",
         "refunded_daily": """select r.refund_date as d, u.country, r.is_chargeback as flag,
-  cast(round(round(sum(r.refunded_amount_usd), 6) * 100) as bigint) as cents, cast(count(*) as bigint) as n
+  cast(round(sum(cast(r.refunded_amount_usd as decimal(28, 6))) * 100) as bigint) as cents, cast(count(*) as bigint) as n
 from fct_refunds r join dim_users u on u.user_key = r.user_key group by all""",
         "fct_finance_revenue_daily": f"""select g.d as revenue_date, g.country, g.flag as is_chargeback,
   {key('g.d', 'g.country', 'g.flag')} as finance_revenue_daily_key,
@@ -609,7 +607,7 @@ def _below_zero(table: str, *cols: str, extra: str = "", columns: str = "*") ->
 
 _PREVIOUS = """(select game_id, region, valid_from, valid_to, lag(valid_to) over (
   partition by game_id, region order by valid_from, valid_to nulls last) as prev_valid_to
-from int_game_prices_replayed)"""
+from dim_game_prices)"""
 
 INVARIANT_SQL = {
     "dim_game_prices_gapless_coverage": f"select * from {_PREVIOUS} where valid_from <> prev_valid_to",

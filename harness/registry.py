@@ -395,13 +395,13 @@ def _(read):
 @on_tables(
     "signed_daily_of_lineitem",
     """with s as (select s_suppkey, case when s_nationkey % 5 = 0 then null else s_nationkey end as nation from supplier),
-i as (select l_shipdate::date as day, nation, false as flag, sum(l_extendedprice) as usd, count(*) as n
+i as (select l_shipdate::date as day, nation, false as flag, sum(cast(l_extendedprice as decimal(28, 6))) as usd, count(*) as n
   from lineitem join s on s_suppkey = l_suppkey group by all),
-o as (select l_shipdate::date as day, nation, l_linestatus = 'F' as flag, sum(l_extendedprice) as usd, count(*) as n
+o as (select l_shipdate::date as day, nation, l_linestatus = 'F' as flag, sum(cast(l_extendedprice as decimal(28, 6))) as usd, count(*) as n
   from lineitem join s on s_suppkey = l_suppkey where l_returnflag = 'R' group by all)
 select coalesce(i.day, o.day) as day, coalesce(i.nation, o.nation) as nation, coalesce(i.flag, o.flag) as flag,
-  coalesce(cast(round(round(i.usd, 6) * 100) as bigint), 0) as in_cents,
-  coalesce(cast(round(round(o.usd, 6) * 100) as bigint), 0) as out_cents,
+  coalesce(cast(round(i.usd * 100) as bigint), 0) as in_cents,
+  coalesce(cast(round(o.usd * 100) as bigint), 0) as out_cents,
   coalesce(i.n, 0) as in_count, coalesce(o.n, 0) as out_count,
   case when coalesce(i.flag, o.flag) then coalesce(o.n, 0) else 0 end as flagged_count
 from i full join o on i.day = o.day and i.nation is not distinct from o.nation and i.flag = o.flag""",

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from vitrine.functions import surrogate_key
 from vitrine.operators import latest_by
-from vitrine.operators.money import cents
+from vitrine.operators.money import cents, exact
 from vitrine.plans import Warehouse
 from vitrine.plans.core import valued_refunds
 from vitrine.plans.intermediate import purchases_in_usd
@@ -38,14 +38,14 @@ def revenue_by_grain_join(wh: Warehouse) -> DataFrame:
         .filter(~F.col("is_deleted"))
         .join(users, "user_id")
         .groupBy(F.col("purchase_date").alias("revenue_date"), "country", F.lit(False).alias("is_chargeback"))
-        .agg(F.sum("amount_usd").alias("usd"), F.count(F.lit(1)).alias("purchase_count"))
+        .agg(F.sum(exact("amount_usd")).alias("usd"), F.count(F.lit(1)).alias("purchase_count"))
         .withColumn("revenue_cents", cents("usd"))
     )
     refunded = (
         valued_refunds(wh)
         .join(users, "user_id")
         .groupBy(F.col("refund_date").alias("revenue_date"), "country", "is_chargeback")
-        .agg(F.sum("refunded_amount_usd").alias("usd"), F.count(F.lit(1)).alias("refund_count"))
+        .agg(F.sum(exact("refunded_amount_usd")).alias("usd"), F.count(F.lit(1)).alias("refund_count"))
         .withColumn("refunded_cents", cents("usd"))
     )
     keys = bought.select(*grain).union(refunded.select(*grain)).distinct().alias("g")

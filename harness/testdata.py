@@ -204,7 +204,7 @@ def landing(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name == "refunds":
         refunded = f"{_PURCHASED} + make_dt_interval(if(o_orderkey % 500 = 0, -1, int(o_orderkey % 45)))"
         return _landed(
-            _emitted(read("orders").filter("o_orderstatus = 'F'"), "o_orderkey"),
+            _emitted(read("orders"), "o_orderkey"),
             name,
             "o_orderkey % 53 = 0",
             refunded,
@@ -226,7 +226,7 @@ def landing(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
             {
                 "id": "o_orderkey",
                 "game_id": "if(o_orderkey % 97 = 0, -1, o_orderkey % 100)",
-                "region": "concat('R', (o_orderkey div 100) % 5)",
+                "region": "if(o_orderkey % 79 = 0, null, concat('R', (o_orderkey div 100) % 5))",
                 "currency": "'USD'",
                 "old_price_cents": "if(o_orderkey % 4 = 0, null, cast(round(o_totalprice) as bigint))",
                 "new_price_cents": "cast(round(o_totalprice) as bigint) + 1 + v",
@@ -272,7 +272,6 @@ def landing(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     recorded = "ts + make_dt_interval(0, 0, 1, v)"
     source = read("events")
     if name == "wishlist_items":
-        source = source.filter("event_type in ('click', 'signup')")
         dead = "event_id % 83 = 0"
         columns = {
             "id": "event_id",
@@ -286,7 +285,6 @@ def landing(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
             "recorded_at": recorded,
         }
     elif name == "ownership_grants":
-        source = source.filter("event_type = 'purchase'")
         dead = "event_id % 83 = 0"
         columns = {
             "id": "event_id",

@@ -36,10 +36,17 @@ def refund_valuation(refunds: DataFrame, purchases: DataFrame, key: str) -> Data
     return lookup(refunds.filter(F.col(key).isNotNull()), purchases, [key], "inner", null_safe=True)
 
 
+def exact(amount: str | Column) -> Column:
+    """An amount as a decimal of six digits, as many as cents times a rate of four digits have.
+
+    Its sums do not depend on the order in which tasks finish, so a half cent rounds alike on every retry.
+    """
+    return (F.col(amount) if isinstance(amount, str) else amount).cast("decimal(28,6)")
+
+
 def cents(amount: str) -> Column:
-    """Whole cents of a summed amount. The sum is first cut to six digits: its last bits depend on the
-    order in which tasks finish, and a half cent must not round differently on a retry."""
-    return F.round(F.round(F.col(amount), 6) * 100).cast("long")
+    """Whole cents of a sum of ``exact`` amounts."""
+    return F.round(F.col(amount) * 100).cast("long")
 
 
 def signed_daily(
@@ -65,12 +72,12 @@ def signed_daily(
     """
     zero = F.lit(0).cast("long")
     one = F.lit(1).cast("long")
-    none = F.lit(None).cast("double")
+    none = exact(F.lit(None))
     moved = inflow.select(
         member,
         date,
         F.lit(False).alias(flag),
-        F.col(amount).alias("_in"),
+        exact(amount).alias("_in"),
         one.alias("_in_n"),
         none.alias("_out"),
         zero.alias("_out_n"),
@@ -81,7 +88,7 @@ def signed_daily(
             flag,
             none.alias("_in"),
             zero.alias("_in_n"),
-            F.col(amount).alias("_out"),
+            exact(amount).alias("_out"),
             one.alias("_out_n"),
         )
     )

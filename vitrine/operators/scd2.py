@@ -34,7 +34,9 @@ def scd2_replay(
       at the earliest instant and the earliest change has no old value;
     * keys without changes hold their present value from ``origin`` on.
 
-    Keys of unknown entities yield nothing. Changes at one instant are ordered by ``tie_break``.
+    Keys of unknown entities yield nothing. Changes at one instant are ordered by ``tie_break``. A key with
+    a NULL part equals no key, itself included: its changes open no intervals and its present value stands,
+    but the interval before its earliest change needs no such match and is kept.
 
     No window takes in all rows of a key. Changes are ordered inside (key, day); what reaches across days
     comes from the first row of each day, at most one per key and day. Both steps read the same
@@ -45,43 +47,35 @@ def scd2_replay(
     rows = dated.select("*", F.lead(ts).over(in_day).alias("_next_in_day"), _opens_day(in_day).alias("_opens_day"))
 
     by_key = Window.partitionBy(*keys).orderBy("_day")
-    spans = rows.filter("_opens_day").select(
+    first_rows = rows.filter("_opens_day").select(
         *keys,
         "_day",
         F.lead(ts).over(by_key).alias("_next_day_first"),
         (F.row_number().over(by_key) == 1).alias("_is_first_day"),
         F.first(F.struct(ts, old, new, *attrs)).over(by_key).alias("_earliest"),
     )
-    spans = lookup(spans, entities.select(entity, origin), [entity], "inner")
-
-    rows = rows.join(spans, [*keys, "_day"], "inner").select(
-        "*",
-        F.coalesce("_next_in_day", "_next_day_first").alias("_next"),
-        (F.col("_is_first_day") & F.col("_opens_day")).alias("_is_earliest"),
-    )
+    spans = lookup(first_rows, entities.select(entity, origin), [entity], "inner")
 
     started_unpriced = F.col(f"_earliest.{old}").isNull()
-    opened = F.struct(
+    from_changes = rows.join(spans, [*keys, "_day"], "inner").select(
+        *keys,
         *attrs,
         F.col(new).alias(value),
         F.when((F.col(ts) == F.col(f"_earliest.{ts}")) & started_unpriced, F.col(origin))
         .otherwise(F.col(ts))
         .alias("valid_from"),
-        F.col("_next").alias("valid_to"),
+        F.coalesce("_next_in_day", "_next_day_first").alias("valid_to"),
     )
-    before = F.struct(
-        *attrs,
-        F.col(old).alias(value),
+    before = spans.filter(F.col("_is_first_day") & ~started_unpriced).select(
+        *keys,
+        *[F.col(f"_earliest.{a}").alias(a) for a in attrs],
+        F.col(f"_earliest.{old}").alias(value),
         F.col(origin).alias("valid_from"),
-        F.col(ts).alias("valid_to"),
+        F.col(f"_earliest.{ts}").alias("valid_to"),
     )
-    with_before = F.col("_is_earliest") & F.col(old).isNotNull()
-    from_changes = rows.select(
-        *keys,
-        F.explode(F.when(with_before, F.array(before, opened)).otherwise(F.array(opened))).alias("_i"),
-    ).select(*keys, "_i.*")
 
-    changed_keys = dated.select(*keys).distinct()
+    # The keys that have changes, one row each, out of the same exchange of the changes.
+    changed_keys = first_rows.filter("_is_first_day").select(*keys)
     unchanged = lookup(current.select(*keys, *attrs, value), changed_keys, keys, "left_anti")
     from_current = lookup(unchanged, entities.select(entity, origin), [entity], "inner").select(
         *keys,
@@ -91,7 +85,7 @@ def scd2_replay(
         F.lit(None).cast("timestamp").alias("valid_to"),
     )
 
-    return from_changes.unionByName(from_current).withColumn("is_current", F.col("valid_to").isNull())
+    return from_changes.unionByName(before).unionByName(from_current).withColumn("is_current", F.col("valid_to").isNull())
 
 
 def previous_end(intervals: DataFrame, keys: list[str], start: str = "valid_from", end: str = "valid_to") -> DataFrame:

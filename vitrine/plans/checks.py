@@ -20,13 +20,12 @@ from vitrine.operators import (
     previous_end,
     stage_order_violations,
 )
-from vitrine.operators.money import cents
-from vitrine.plans.core import valued_refunds
-from vitrine.plans.intermediate import purchases_in_usd
+from vitrine.operators.money import cents, exact
 from vitrine.plans.product import FUNNEL_STAGES
-from vitrine.plans.staging import KEY_NAMES, live
+from vitrine.plans.staging import KEY_NAMES
 from vitrine.plans.warehouse import LAYER_OF, Warehouse
 from vitrine.session import ensure_checkpoint_dir
+from vitrine.sources import HEALTH_SCHEMAS, LANDING
 
 # The accepted sets.
 CHANNELS = ["paid_search", "paid_social", "email", "influencer", "affiliate"]
@@ -231,21 +230,21 @@ def _negative(*cols: str):
 @invariant("dim_game_prices")
 def dim_game_prices_gapless_coverage(wh: Warehouse) -> DataFrame:
     """Intervals that do not start where the one before them ends."""
-    prices = previous_end(wh["int_game_prices_replayed"], ["game_id", "region"])
+    prices = previous_end(wh["dim_game_prices"], ["game_id", "region"])
     return prices.filter(F.col("valid_from") != F.col("prev_valid_to"))
 
 
 @invariant("dim_game_prices")
 def dim_game_prices_no_overlapping_intervals(wh: Warehouse) -> DataFrame:
     """Intervals that start before the one before them ends."""
-    prices = previous_end(wh["int_game_prices_replayed"], ["game_id", "region"])
+    prices = previous_end(wh["dim_game_prices"], ["game_id", "region"])
     return prices.filter(F.col("valid_from") < F.col("prev_valid_to"))
 
 
 @invariant("dim_game_prices")
 def dim_game_prices_one_current_row(wh: Warehouse) -> DataFrame:
     """Games and regions that do not have exactly one current price."""
-    per_region = wh["int_game_prices_replayed"].groupBy("game_id", "region")
+    per_region = wh["dim_game_prices"].groupBy("game_id", "region")
     return per_region.agg(F.count_if("is_current").alias("current_row_count")).filter("current_row_count <> 1")
 
 
@@ -265,12 +264,12 @@ def fct_finance_revenue_daily_non_negative(wh: Warehouse) -> DataFrame:
 def fct_finance_revenue_daily_refunds_by_refund_date(wh: Warehouse) -> DataFrame:
     """Refunded cents, summed again from the refunds by refund date, against the mart."""
     per_user = (
-        valued_refunds(wh)
-        .groupBy("user_id", "refund_date", "is_chargeback")
-        .agg(F.sum("refunded_amount_usd").alias("usd"))
+        wh["fct_refunds"]
+        .groupBy("user_key", "refund_date", "is_chargeback")
+        .agg(F.sum(exact("refunded_amount_usd")).alias("usd"))
     )
     expected = (
-        per_user.join(live(wh, "users").select("user_id", "country"), "user_id", "inner")
+        per_user.join(wh["dim_users"].select("user_key", "country"), "user_key", "inner")
         .groupBy(F.col("refund_date").alias("revenue_date"), "country", "is_chargeback")
         .agg(F.sum("usd").alias("usd"))
         .withColumn("refunded_cents", cents("usd"))
@@ -376,12 +375,12 @@ def fct_purchases_amount_usd_sane_ratio(wh: Warehouse) -> DataFrame:
 @invariant("fct_refunds")
 def fct_refunds_after_purchase(wh: Warehouse) -> DataFrame:
     """Refunds dated before their purchase."""
-    bought = purchases_in_usd(wh).filter(~F.col("is_deleted")).select("purchase_id", "purchased_at")
-    refunds = wh["stg_refunds"].filter(~F.col("is_deleted")).select("refund_id", "purchase_id", "refunded_at")
+    bought = wh["fct_purchases"].select("purchase_key", "purchased_at")
+    refunds = wh["fct_refunds"].select("refund_key", "purchase_key", "refunded_at")
     return (
-        lookup(refunds, bought, ["purchase_id"], "inner")
+        lookup(refunds, bought, ["purchase_key"], "inner")
         .filter(F.col("refunded_at") < F.col("purchased_at"))
-        .select(surrogate_key("refund_id").alias("refund_key"), "refunded_at", "purchased_at")
+        .select("refund_key", "refunded_at", "purchased_at")
     )
 
 
@@ -426,3 +425,9 @@ def check_registry(wh: Warehouse) -> tuple[DataFrame, DataFrame]:
         wh.spark.createDataFrame(tests, "unique_id string, parent_model_unique_id string"),
         wh.spark.createDataFrame(models, "unique_id string, schema_name string"),
     )
+
+
+def source_registry(wh: Warehouse, source: str = "storefront", schema: str = "landing") -> DataFrame:
+    """The ``sources`` registry that belongs to ``source_freshness``, as of ``wh.as_of``."""
+    rows = [(f"source.{name}", source, name, schema, wh.as_of) for name in LANDING]
+    return wh.spark.createDataFrame(rows, HEALTH_SCHEMAS["sources"])

@@ -19,7 +19,7 @@ def fct_dbt_test_results(wh: Warehouse) -> DataFrame:
 @model(CORE)
 def fct_source_freshness(wh: Warehouse) -> DataFrame:
     """Every freshness result ever taken, named by the newest registry row of its source."""
-    registry = latest_by(wh.health("sources"), ["unique_id"], "generated_at").selectExpr(
+    registry = latest_by(wh.health("sources"), ["unique_id"], ["generated_at", "source_name", "name", "schema_name"]).selectExpr(
         "unique_id", "source_name", "name as table_name", "schema_name"
     )
     results = wh.health("source_freshness_results")

@@ -7,8 +7,10 @@ import datetime as dt
 from pyspark.sql import DataFrame
 
 from vitrine.operators import row_counts
+from vitrine.plans.checks import check_registry, source_registry
+from vitrine.plans.pipeline_health import source_freshness
 from vitrine.plans.warehouse import LAYER_OF, MODELS, Warehouse
-from vitrine.sinks import layer_namespace, merge_table, namespace_tables, write_table, write_view
+from vitrine.sinks import append_table, layer_namespace, merge_table, namespace_tables, write_table, write_view
 
 # Event-scale facts are laid out by day, so that readers of a period skip the other files.
 PARTITIONED = {
@@ -61,10 +63,34 @@ def record_row_counts(wh: Warehouse, namespaces: list[str], target: str, prefix:
     """
     found = namespace_tables(wh.spark, namespaces, excluded=(HEALTH_NAMESPACE,))
     today: dt.date = wh.as_of.date()
-    counted: DataFrame | None = None
+    none = "schema_name string, table_name string, snapshot_date date, row_count long"
+    counted = wh.spark.createDataFrame([], none)
     for namespace in sorted({ns for ns, _ in found}):
         part = row_counts({t: df for (ns, t), df in found.items() if ns == namespace}, namespace, today)
-        counted = part if counted is None else counted.unionByName(part)
+        counted = counted.unionByName(part)
     home = layer_namespace("marts_core", target, prefix)
     keys = ["schema_name", "table_name", "snapshot_date"]
-    return merge_table(wh.spark, home, "fct_row_counts", counted, keys, partition="snapshot_date")
+    wh.settle("fct_row_counts", merge_table(wh.spark, home, "fct_row_counts", counted, keys, partition="snapshot_date"))
+    return wh["fct_row_counts"]
+
+
+def record_health(wh: Warehouse, results: DataFrame, target: str, prefix: str | None) -> str:
+    """Add check results, freshness of the sources and the source registry to the history of the health namespace.
+
+    The registries of tests and models describe the present and are replaced. Returns the namespace.
+    """
+    home = layer_namespace(HEALTH_NAMESPACE, target, prefix)
+    append_table(results, home, "run_results")
+    append_table(source_freshness(wh), home, "source_freshness_results")
+    append_table(source_registry(wh), home, "sources")
+    tests, models = check_registry(wh)
+    write_table(tests, home, "tests")
+    write_table(models, home, "models")
+    return home
+
+
+def stored_health(wh: Warehouse, namespace: str) -> None:
+    """Let the health marts read what ``record_health`` has stored in ``namespace``, and forget what they held."""
+    wh.health = lambda name: wh.spark.table(f"`{namespace}`.`{name}`")
+    for name in ("fct_dbt_test_results", "fct_source_freshness"):
+        wh.forget(name)

@@ -64,5 +64,10 @@ class Warehouse:
         self.written[name] = table
         self._lazy.clear()
 
+    def forget(self, name: str) -> None:
+        """Build ``name`` anew when it is next asked for, although it has been written."""
+        self.written.pop(name, None)
+        self._lazy.clear()
+
 
 from vitrine.plans import core, finance, intermediate, marketing, pipeline_health, product, staging  # noqa: E402,F401

@@ -1,3 +1,3 @@
-from vitrine.sinks.tables import layer_namespace, merge_table, namespace_tables, write_table, write_view
+from vitrine.sinks.tables import append_table, layer_namespace, merge_table, namespace_tables, write_table, write_view
 
-__all__ = ["layer_namespace", "merge_table", "namespace_tables", "write_table", "write_view"]
+__all__ = ["append_table", "layer_namespace", "merge_table", "namespace_tables", "write_table", "write_view"]

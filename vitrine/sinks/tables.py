@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 
 from vitrine.operators import upsert
@@ -27,14 +29,50 @@ def layer_namespace(layer: str | None, target: str, prefix: str | None) -> str:
 
 
 def write_table(df: DataFrame, namespace: str, name: str, partition_by: list[str] | None = None) -> DataFrame:
-    """Rebuild ``namespace.name`` from ``df`` and return the written table."""
+    """Rebuild ``namespace.name`` from ``df`` and return the written table.
+
+    The rows are written beside the table, which is replaced only when they are complete: a failing query
+    leaves the old table as it was. ``df`` may read the table it replaces.
+    """
     spark = df.sparkSession
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{namespace}`")
-    writer = df.write.mode("overwrite").format("parquet")
+    table, beside = f"`{namespace}`.`{name}`", f"`{namespace}`.`{name}__next`"
+    spark.sql(f"DROP TABLE IF EXISTS {beside}")
+    writer = df.write.mode("errorifexists").format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    writer.saveAsTable(f"`{namespace}`.`{name}`")
-    return spark.table(f"`{namespace}`.`{name}`")
+    try:
+        writer.saveAsTable(beside)
+    except Exception:
+        spark.sql(f"DROP TABLE IF EXISTS {beside}")
+        raise
+    spark.sql(f"DROP TABLE IF EXISTS {table}")
+    spark.sql(f"ALTER TABLE {beside} RENAME TO {table}")
+    if partition_by and spark.conf.get("spark.sql.catalogImplementation") == "in-memory":
+        _relocate_partitions(spark, table)
+    return spark.table(table)
+
+
+def _relocate_partitions(spark: SparkSession, table: str) -> None:
+    """A catalog in memory, unlike a metastore, leaves the partitions of a renamed table where they were."""
+    described = {r["col_name"]: r["data_type"] for r in spark.sql(f"DESCRIBE FORMATTED {table}").collect()}
+    for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
+        parts = [unquote(p).partition("=") for p in row[0].split("/")]
+        values = [f"`{k}` = " + ("null" if v == "__HIVE_DEFAULT_PARTITION__" else f"'{v}'") for k, _, v in parts]
+        location = f"{described['Location'].rstrip('/')}/{row[0]}"
+        spark.sql(f"ALTER TABLE {table} PARTITION ({', '.join(values)}) SET LOCATION '{location}'")
+    spark.catalog.refreshTable(table)
+
+
+def append_table(df: DataFrame, namespace: str, name: str) -> DataFrame:
+    """Add the rows of ``df`` to ``namespace.name``, which is made if need be, and return the table."""
+    spark = df.sparkSession
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS `{namespace}`")
+    table = f"`{namespace}`.`{name}`"
+    if spark.catalog.tableExists(f"{namespace}.{name}"):
+        df = df.select(*spark.table(table).columns)
+    df.write.mode("append").format("parquet").saveAsTable(table)
+    return spark.table(table)
 
 
 def write_view(df: DataFrame, namespace: str, name: str) -> DataFrame:
@@ -57,14 +95,20 @@ def merge_table(
     are replaced, and only those partitions are written again: other days keep their files, and rows
     of a touched day that have no new version stay. The merged rows are checkpointed to the shared
     folder first, as a partition cannot be read while it is overwritten.
+
+    Two incoming rows of one key are refused, as no order says which of them should stay.
     """
     table = f"`{namespace}`.`{name}`"
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{namespace}`")
-    if not spark.catalog.tableExists(f"{namespace}.{name}"):
-        return write_table(incoming, namespace, name, partition_by=[partition])
+    exists = spark.catalog.tableExists(f"{namespace}.{name}")
     ensure_checkpoint_dir(spark)
-    columns = spark.table(table).columns
+    columns = spark.table(table).columns if exists else incoming.columns
     fresh = incoming.select(*columns).checkpoint()
+    twice = fresh.groupBy(*keys).count().filter("count > 1").first()
+    if twice is not None:
+        raise ValueError(f"{namespace}.{name}: {twice['count']} incoming rows with the key {[twice[k] for k in keys]}")
+    if not exists:
+        return write_table(fresh, namespace, name, partition_by=[partition])
     touched = spark.table(table).join(fresh.select(partition).distinct(), partition, "left_semi").select(*columns)
     merged = upsert(touched, fresh, keys).select(*columns).checkpoint()
     previous = spark.conf.get("spark.sql.sources.partitionOverwriteMode")

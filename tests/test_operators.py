@@ -416,3 +416,32 @@ def test_lookup_types(spark):
         op.lookup(big, spark.createDataFrame([("1",)], "k string"), ["k"])
     with pytest.raises(ValueError):
         op.lookup(big.withColumn("v", F.lit("b")), small, ["k"])
+
+
+def test_scd2_replay_keeps_the_opening_interval_of_null_keys(spark):
+    """Its changes match no key, itself included, so the present price stands beside it."""
+    changes = spark.createDataFrame([(1, 7, None, "USD", ts("2024-01-05 00:00:00"), 100, 200), (2, 7, None, "USD", ts("2024-01-06 00:00:00"), 200, 300)], "id long, g long, r string, cur string, at timestamp, old long, new long")
+    games = spark.createDataFrame([(7, ts("2024-01-01 00:00:00"))], "g long, born timestamp")
+    current = spark.createDataFrame([(7, None, "USD", 300), (7, "R1", "USD", 50)], "g long, r string, cur string, price long")
+    out = op.scd2_replay(changes, games, current, entity="g", keys=["g", "r"], ts="at", tie_break="id", old="old", new="new", value="price", origin="born", attrs=["cur"])
+    assert rows(out, "r", "price", "valid_from", "valid_to") == [
+        (None, 100, "2024-01-01 00:00:00", "2024-01-05 00:00:00"),
+        (None, 300, "2024-01-01 00:00:00", None),
+        ("R1", 50, "2024-01-01 00:00:00", None),
+    ]
+
+
+def test_latest_by_breaks_ties_by_further_columns(spark):
+    tied = spark.createDataFrame([(1, 5, i) for i in range(200)], "k long, at long, id long")
+    for n in (1, 3, 8):
+        assert rows(op.latest_by(tied.repartition(n), ["k"], ["at", "id"])) == [(1, 5, 199)]
+
+
+def test_sums_of_money_do_not_depend_on_row_order(spark):
+    values = [0.005, 1e9, -1e9] * 300
+    for seed in (1, 2):
+        order = sorted(range(len(values)), key=lambda i: (i * 7919 * seed) % 1009)
+        moved = spark.createDataFrame([(1, day("2024-01-01"), values[i]) for i in order], "u long, d date, usd double").repartition(seed)
+        none = moved.limit(0).withColumn("flag", F.lit(False))
+        out = op.signed_daily(moved, none, spark.createDataFrame([(1, "DE")], "u long, c string"), member="u", date="d", amount="usd", flag="flag", dims=["c"])
+        assert out.first()["in_cents"] == 150

@@ -11,7 +11,7 @@ from harness.testdata import warehouse
 from vitrine import sinks
 from vitrine.plans import MODELS
 from vitrine.plans.checks import CHECKS, INVARIANTS, check_registry, run_checks, table_failures
-from vitrine.plans.publish import publish, record_row_counts
+from vitrine.plans.publish import publish, record_health, record_row_counts, stored_health
 from vitrine.plans.pipeline_health import source_freshness
 from vitrine.sources import FX_RATES_SCHEMA, HEALTH_SCHEMAS, LANDING, read_fx_rates, read_health, read_landing
 
@@ -157,3 +157,68 @@ def test_dim_date_default_window(spark):
     assert dates.count() == 1461
     first = dates.filter("date_day = date'2023-01-01'").first()
     assert (first["day_of_week"], first["day_name"], first["week_of_year"], first["is_weekend"]) == (0, "Sun", 52, True)
+
+
+def test_a_failed_rebuild_leaves_the_old_table(spark, prefix):
+    sinks.write_table(spark.range(4).withColumn("day", F.lit("a")), prefix, "kept", ["day"])
+    broken = spark.createDataFrame([("1",), ("x",)], "id string").select(F.col("id").cast("long"), F.lit("a").alias("day"))
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        sinks.write_table(broken, prefix, "kept", ["day"])
+    assert spark.table(f"{prefix}.kept").count() == 4
+    assert [t.name for t in spark.catalog.listTables(prefix)] == ["kept"]
+    # A table may be rebuilt from itself, partitions with odd and missing values included.
+    more = spark.table(f"{prefix}.kept").unionByName(spark.createDataFrame([(9, None), (10, "a/b c=d")], "id long, day string"))
+    want = rows(more, "id", "day")
+    assert rows(sinks.write_table(more, prefix, "kept", ["day"]), "id", "day") == want
+    assert spark.table(f"{prefix}.kept").filter("day = 'a/b c=d'").count() == 1
+
+
+def test_merge_refuses_two_rows_of_one_key_and_takes_none(spark, prefix):
+    schema = "k string, d date, n long"
+    one = spark.createDataFrame([("a", day("2024-01-01"), 1)], schema)
+    for _ in range(2):
+        with pytest.raises(ValueError, match="2 incoming rows"):
+            sinks.merge_table(spark, prefix, "m", one.union(one), ["k", "d"], "d")
+        sinks.merge_table(spark, prefix, "m", one, ["k", "d"], "d")
+    assert rows(sinks.merge_table(spark, prefix, "m", one.limit(0), ["k", "d"], "d"), "k", "d", "n") == rows(one, "k", "d", "n")
+    wh = warehouse(spark, SF)
+    assert record_row_counts(wh, [], "dev", prefix).count() == 0
+
+
+def test_the_documented_run(spark, prefix):
+    wh = warehouse(spark, SF)
+    placed = publish(wh, "dev", prefix)
+    spaces = [n for n in sorted(set(placed.values())) if spark.catalog.databaseExists(n)]
+    record_row_counts(wh, spaces, "dev", prefix)
+    results = run_checks(wh, at=ts("2024-01-31 03:00:00"))
+    assert results.count() == 168 + 19
+    home = record_health(wh, results, "dev", prefix)
+    record_health(wh, results.withColumn("created_at", F.lit(ts("2024-02-01 03:00:00"))), "dev", prefix)
+    stored_health(wh, home)
+    rates = wh["fct_dbt_test_results"]
+    assert rates.select("run_date").distinct().count() == 2 and rates.agg(F.sum("test_count")).first()[0] == 2 * (168 + 19 - len(CHECKS["fx_rates"]))  # rates are no model
+    assert wh["fct_source_freshness"].count() == 2 * len(LANDING)
+
+
+def _settled(wh, name, rows_, schema):
+    wh.settle(name, wh.spark.createDataFrame(rows_, schema))
+
+
+def test_invariants_look_at_the_written_tables(spark):
+    price = "game_price_key string, game_id long, region string, currency string, price_cents long, valid_from timestamp, valid_to timestamp, is_current boolean"
+    a, b, c, d = (ts(f"2024-01-0{k} 00:00:00") for k in (1, 2, 3, 4))
+    wh = warehouse(spark, SF)
+    _settled(wh, "dim_game_prices", [("1", 1, "R", "USD", 5, a, b, False), ("2", 1, "R", "USD", 5, c, None, True), ("3", 2, "R", "USD", 5, a, c, True), ("4", 2, "R", "USD", 5, b, None, True)], price)
+    run = lambda name: rows(INVARIANTS[name][1](wh))
+    assert [r[:2] for r in run("dim_game_prices_one_current_row")] == [(2, "R")]
+    assert [r[0] for r in run("dim_game_prices_gapless_coverage")] == [1, 2]
+    assert [r[0] for r in run("dim_game_prices_no_overlapping_intervals")] == [2]
+
+    _settled(wh, "fct_purchases", [("p", "u", "g", b, day("2024-01-02"), 100, "USD", 1.0, "card")], "purchase_key string, user_key string, game_key string, purchased_at timestamp, purchase_date date, amount_cents long, currency string, amount_usd double, payment_method string")
+    _settled(wh, "fct_refunds", [("r", "p", "u", "g", a, day("2024-01-01"), False, 1.0), ("s", "p", "u", "g", c, day("2024-01-03"), False, 1.0)], "refund_key string, purchase_key string, user_key string, game_key string, refunded_at timestamp, refund_date date, is_chargeback boolean, refunded_amount_usd double")
+    assert [r[0] for r in run("fct_refunds_after_purchase")] == ["r"]
+    _settled(wh, "dim_users", [("u", "DE")], "user_key string, country string")
+    revenue = "revenue_date date, country string, is_chargeback boolean, finance_revenue_daily_key string, revenue_cents long, refunded_cents long, purchase_count long, refund_count long, chargeback_count long"
+    _settled(wh, "fct_finance_revenue_daily", [(day("2024-01-01"), "DE", False, "k", 0, 100, 0, 1, 0), (day("2024-01-03"), "DE", False, "l", 0, 99, 0, -1, 0)], revenue)
+    assert [r[0] for r in run("fct_finance_revenue_daily_refunds_by_refund_date")] == ["2024-01-03"]
+    assert [r[0] for r in run("fct_finance_revenue_daily_non_negative")] == ["2024-01-03"]

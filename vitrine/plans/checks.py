@@ -21,6 +21,7 @@ from vitrine.operators import (
     stage_order_violations,
 )
 from vitrine.operators.money import cents, exact
+from vitrine.plans.core import CORE
 from vitrine.plans.product import FUNNEL_STAGES
 from vitrine.plans.staging import KEY_NAMES
 from vitrine.plans.warehouse import LAYER_OF, Warehouse
@@ -420,7 +421,7 @@ def check_registry(wh: Warehouse) -> tuple[DataFrame, DataFrame]:
     """The ``tests`` and ``models`` registries that belong to ``run_checks``."""
     tests = [(f"test.{c.name(t)}", f"model.{t}") for t, checks in CHECKS.items() for c in checks]
     tests += [(f"test.assert_{name}", f"model.{table}") for name, (table, _) in INVARIANTS.items()]
-    models = [(f"model.{name}", layer) for name, layer in LAYER_OF.items()]
+    models = [(f"model.{name}", layer) for name, layer in {**LAYER_OF, "fct_row_counts": CORE}.items()]
     return (
         wh.spark.createDataFrame(tests, "unique_id string, parent_model_unique_id string"),
         wh.spark.createDataFrame(models, "unique_id string, schema_name string"),

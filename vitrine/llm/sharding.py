@@ -11,8 +11,8 @@ row's own identity to the hash, so that such rows go to many shards (give the ke
 ``write_shards`` shuffles by shard and sub-divides each shard's partition into ``files_per_shard`` files.
 
 Edge cases: a NULL key is hashed like any value; equal keys meet in one shard; an empty table gives an empty result; more
-shards than slots, no shards, repeated names, or a size that is no prime are refused. A column named like an output is
-refused too, instead of being overwritten.
+shards than slots, no shards, repeated names, or a size that is no prime are refused. An input column named like an output
+gives way to it, also where it is part of the key.
 """
 
 from __future__ import annotations
@@ -58,8 +58,6 @@ def slot_of(key: list[str], size: int):
 
 def place(rows: DataFrame, key: list[str], shards: list[str], size: int = 4099, spread: list[str] | None = None, slot: str = "slot", shard: str = "shard") -> DataFrame:
     """Rows with their ``slot`` and the name of their ``shard``."""
-    if {slot, shard} & set(rows.columns):
-        raise ValueError(f"rows have a column named {slot} or {shard}")
     table = lookup_table(shards, size)
     numbers, names = F.lit(table), F.lit(shards)
     placed = rows.withColumn(slot, slot_of([*key, *(spread or [])], size))

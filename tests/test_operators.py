@@ -445,3 +445,22 @@ def test_sums_of_money_do_not_depend_on_row_order(spark):
         none = moved.limit(0).withColumn("flag", F.lit(False))
         out = op.signed_daily(moved, none, spark.createDataFrame([(1, "DE")], "u long, c string"), member="u", date="d", amount="usd", flag="flag", dims=["c"])
         assert out.first()["in_cents"] == 150
+
+
+def test_refunded_daily_shuffles_no_purchase_and_agrees_with_the_two_legs(spark):
+    purchases = spark.createDataFrame([(i, i % 7, day("2024-01-01"), None if i % 11 == 0 else i / 8) for i in range(60)], "id long, u long, d date, usd double")
+    refunds = spark.createDataFrame([(i % 90 if i % 13 else None, day(f"2024-01-0{1 + i % 3}"), None if i % 17 == 0 else i % 2 == 0) for i in range(150)], "id long, back date, flag boolean")
+    users = spark.createDataFrame([(u, None if u == 2 else f"C{u % 2}") for u in range(6)], "u long, c string")
+    spread = purchases.repartition(4, "id")
+    out = op.refunded_daily(spread, refunds, users, key="id", member="u", date="d", amount="usd", refund_date="back", flag="flag", dims=["c"])
+    valued = op.refund_valuation(refunds, purchases.withColumnRenamed("d", "bought"), "id").withColumnRenamed("back", "d")
+    both = op.signed_daily(purchases, valued, users, member="u", date="d", amount="usd", flag="flag", dims=["c"])
+    assert rows(out, *both.columns) == rows(both)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        spread = purchases.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "id")
+        out = op.refunded_daily(spread, refunds, users, key="id", member="u", date="d", amount="usd", refund_date="back", flag="flag", dims=["c"])
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert len([x for x in plan.split("\n") if "Exchange hashpartitioning(id#" in x and "back#" not in x]) == 2  # purchases as given, refunds per purchase
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

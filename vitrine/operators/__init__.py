@@ -4,7 +4,7 @@ from vitrine.operators.health import freshness, pass_rate, row_counts, upsert
 from vitrine.operators.journeys import conversion, converted_counts, funnel, stage_order_violations
 from vitrine.operators.joins import lookup
 from vitrine.operators.latest import latest_by
-from vitrine.operators.money import fx_convert, refund_valuation, signed_daily
+from vitrine.operators.money import fx_convert, refund_valuation, refunded_daily, signed_daily
 from vitrine.operators.quality import (
     check_accepted_values,
     check_not_null,
@@ -38,6 +38,7 @@ __all__ = [
     "previous_end",
     "ratio_per_entity",
     "refund_valuation",
+    "refunded_daily",
     "rollup_via_bridge",
     "row_counts",
     "scd2_replay",

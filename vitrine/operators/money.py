@@ -92,6 +92,56 @@ def signed_daily(
             one.alias("_out_n"),
         )
     )
+    return _ledger(moved, members, member, date, flag, dims)
+
+
+def refunded_daily(
+    purchases: DataFrame,
+    refunds: DataFrame,
+    members: DataFrame,
+    *,
+    key: str,
+    member: str,
+    date: str,
+    amount: str,
+    refund_date: str,
+    flag: str,
+    dims: list[str],
+) -> DataFrame:
+    """``signed_daily`` of purchases, and of the refunds that reverse them at the purchase's amount.
+
+    ``purchases`` (key, member, date, amount)   one row per key
+    ``refunds``   (key, refund_date, flag)      refunds of unknown purchases are dropped
+
+    Refunds are counted per (key, day, flag) and brought to their purchase, whose row gives both legs. Purchases are
+    read once and, where they are already partitioned by their key, not shuffled before they are summed.
+    """
+    counted = refunds.filter(F.col(key).isNotNull()).groupBy(key, refund_date, flag).agg(F.count(F.lit(1)).alias("_n"))
+    per_key = counted.groupBy(key).agg(F.collect_list(F.struct(refund_date, flag, "_n")).alias("_refunds"))
+    zero = F.lit(0).cast("long")
+    value = exact(amount)
+
+    def leg(day: Column, flagged: Column, got: Column, got_n: Column, given: Column, given_n: Column) -> Column:
+        return F.struct(
+            day.alias(date),
+            flagged.alias(flag),
+            got.alias("_in"),
+            got_n.alias("_in_n"),
+            given.alias("_out"),
+            given_n.alias("_out_n"),
+        )
+
+    bought = leg(F.col(date), F.lit(False), value, F.lit(1).cast("long"), exact(F.lit(None)), zero)
+    back = F.transform(
+        "_refunds", lambda r: leg(r[refund_date], r[flag], exact(F.lit(None)), zero, exact(value * r["_n"]), r["_n"])
+    )
+    legs = F.when(F.col("_refunds").isNull(), F.array(bought)).otherwise(F.concat(F.array(bought), back))
+    moved = purchases.join(per_key, key, "left").select(member, F.explode(legs).alias("_leg")).select(member, "_leg.*")
+    return _ledger(moved, members, member, date, flag, dims)
+
+
+def _ledger(moved: DataFrame, members: DataFrame, member: str, date: str, flag: str, dims: list[str]) -> DataFrame:
+    zero = F.lit(0).cast("long")
     parts = ["_in", "_in_n", "_out", "_out_n"]
     per_member = moved.groupBy(member, date, flag).agg(*[F.sum(p).alias(p) for p in parts])
     daily = (

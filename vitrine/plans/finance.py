@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.functions import surrogate_key
-from vitrine.operators import peak_of_totals, signed_daily
-from vitrine.plans.core import valued_refunds
+from vitrine.operators import peak_of_totals, refunded_daily
 from vitrine.plans.intermediate import purchases_in_usd
 from vitrine.plans.staging import live
 from vitrine.plans.warehouse import Warehouse, model
@@ -19,18 +18,15 @@ FINANCE = "marts_finance"
 def fct_finance_revenue_daily(wh: Warehouse) -> DataFrame:
     # Refunds count on the day of the refund, not of the purchase.
     bought = purchases_in_usd(wh).filter(~F.col("is_deleted"))
-    ledger = signed_daily(
-        bought.select("user_id", F.col("purchase_date").alias("revenue_date"), F.col("amount_usd").alias("amount")),
-        valued_refunds(wh).select(
-            "user_id",
-            F.col("refund_date").alias("revenue_date"),
-            F.col("refunded_amount_usd").alias("amount"),
-            "is_chargeback",
-        ),
+    ledger = refunded_daily(
+        bought.select("purchase_id", "user_id", F.col("purchase_date").alias("revenue_date"), "amount_usd"),
+        live(wh, "refunds").select("purchase_id", F.to_date("refunded_at").alias("refund_date"), "is_chargeback"),
         live(wh, "users").select("user_id", "country"),
+        key="purchase_id",
         member="user_id",
         date="revenue_date",
-        amount="amount",
+        amount="amount_usd",
+        refund_date="refund_date",
         flag="is_chargeback",
         dims=["country"],
     )

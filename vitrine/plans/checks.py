@@ -7,12 +7,10 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vitrine.functions import surrogate_key
 from vitrine.operators import (
-    check_relationships,
     check_unique_combination,
     converted_counts,
     diff_by_key,
@@ -25,7 +23,6 @@ from vitrine.plans.core import CORE
 from vitrine.plans.product import FUNNEL_STAGES
 from vitrine.plans.staging import KEY_NAMES
 from vitrine.plans.warehouse import LAYER_OF, Warehouse
-from vitrine.session import ensure_checkpoint_dir
 from vitrine.sources import HEALTH_SCHEMAS, LANDING
 
 # The accepted sets.
@@ -138,77 +135,58 @@ CHECKS: dict[str, list[Check]] = {
 }
 
 
-def passes(checks: list[Check]) -> tuple[dict[str, list[Check]], list[Check], list[Check]]:
-    """Checks by the pass that answers them: per counted column, all other NULL checks, one each."""
-    counted = {c.columns[0]: [] for c in checks if c.kind in ("unique", "accepted_values")}
-    filled, alone = [], []
-    for c in checks:
-        if c.kind in ("unique_combination", "relationships"):
-            alone.append(c)
-        elif c.columns[0] in counted:
-            counted[c.columns[0]].append(c)
-        else:
-            filled.append(c)
-    return counted, filled, alone
-
-
 def failures(table: str, df: DataFrame, checks: list[Check], parent: Callable[[str], DataFrame]) -> DataFrame:
     """(check_name, failures) of one table.
 
-    The counts per value of a column answer its NULL, uniqueness and accepted-value checks together; the
-    NULL checks of all other columns share one pass without a shuffle of rows.
+    The checked columns are unpivoted into (column, value) and counted once. These counts, a row for each column
+    and value at most, answer the NULL, uniqueness, accepted-value and relationship checks of all columns; only checks
+    of column combinations take a pass of their own. Values are compared as text, each column's for itself.
     """
-    counted, filled, alone = passes(checks)
     zero = F.lit(0).cast("long")
+    single = [c for c in checks if c.kind != "unique_combination"]
+    names = list(dict.fromkeys(c.columns[0] for c in single))
+    read = {c.columns[0] for c in single if c.kind != "not_null"}
+    # Of a column that only has to be filled, one value stands for all.
+    cell = {c: F.col(c).cast("string") if c in read else F.when(F.col(c).isNotNull(), F.lit("")) for c in names}
+    pairs = [F.struct(F.lit(c).alias("_c"), v.alias("_v")) for c, v in cell.items()]
     parts = []
-
-    def emit(source: DataFrame, answers: list[tuple[Check, Column]]) -> None:
-        row = source.agg(*[answer.alias(f"n{i}") for i, (_, answer) in enumerate(answers)])
-        named = [
-            F.struct(F.lit(c.name(table)).alias("check_name"), F.col(f"n{i}").alias("failures"))
-            for i, (c, _) in enumerate(answers)
-        ]
-        parts.append(row.select(F.explode(F.array(*named)).alias("_c")).select("_c.*"))
-
-    if filled:
-        emit(df, [(c, F.count_if(F.col(c.columns[0]).isNull())) for c in filled])
-    for col, own in counted.items():
-        per_value = df.groupBy(F.col(col).alias("_v")).agg(F.count(F.lit(1)).alias("_n"))
-        value = F.col("_v")
-        answers = []
-        for c in own:
+    if names:
+        cells = df.select(F.explode(F.array(*pairs)).alias("_p")).select("_p.*")
+        counts = cells.groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
+        value, answers = F.col("_v"), []
+        for c in (c for c in single if c.kind != "relationships"):
+            own = F.col("_c") == c.columns[0]
             if c.kind == "not_null":
-                answer = F.coalesce(F.sum(F.when(value.isNull(), F.col("_n"))), zero)
+                answer = F.coalesce(F.sum(F.when(own & value.isNull(), F.col("_n"))), zero)
             elif c.kind == "unique":
-                answer = F.count_if(value.isNotNull() & (F.col("_n") > 1))
+                answer = F.count_if(own & value.isNotNull() & (F.col("_n") > 1))
             else:
-                answer = F.count_if(~value.isin(list(c.values)))
+                answer = F.count_if(own & ~value.isin([str(v) for v in c.values]))
             answers.append((c, answer))
-        emit(per_value, answers)
-    for c in alone:
-        if c.kind == "unique_combination":
-            emit(check_unique_combination(df, list(c.columns)), [(c, F.count(F.lit(1)))])
-        else:
-            orphans = check_relationships(df, c.columns[0], parent(c.parent[0]), c.parent[1])
-            emit(orphans, [(c, F.coalesce(F.sum("n_records"), zero))])
+        if answers:
+            row = counts.agg(*[answer.alias(f"n{i}") for i, (_, answer) in enumerate(answers)])
+            named = [
+                F.struct(F.lit(c.name(table)).alias("check_name"), F.col(f"n{i}").alias("failures"))
+                for i, (c, _) in enumerate(answers)
+            ]
+            parts.append(row.select(F.explode(F.array(*named)).alias("_a")).select("_a.*"))
+        for c in (c for c in single if c.kind == "relationships"):
+            known = parent(c.parent[0]).select(F.col(c.parent[1]).cast("string").alias("_v")).distinct()
+            own = counts.filter((F.col("_c") == c.columns[0]) & value.isNotNull())
+            orphans = own.join(known, "_v", "left_anti").agg(F.coalesce(F.sum("_n"), zero).alias("failures"))
+            parts.append(orphans.select(F.lit(c.name(table)).alias("check_name"), "failures"))
+    for c in (c for c in checks if c.kind == "unique_combination"):
+        repeated = check_unique_combination(df, list(c.columns)).agg(F.count(F.lit(1)).alias("failures"))
+        parts.append(repeated.select(F.lit(c.name(table)).alias("check_name"), "failures"))
     return reduce(DataFrame.unionByName, parts)
 
 
 def table_failures(wh: Warehouse, table: str, df: DataFrame | None = None) -> DataFrame:
-    """Failures of the declared checks of ``table``.
-
-    A table that is not written yet is computed once for all passes: the checked columns are checkpointed
-    to the shared folder, unless one pass answers everything.
-    """
+    """Failures of the declared checks of ``table``, as a lazy plan."""
     checks = CHECKS[table]
-    lazy = df is None and table not in wh.written
     if df is None:
         df = wh.fx_rates if table == "fx_rates" else wh[table]
     df = df.select(*dict.fromkeys(col for c in checks for col in c.columns))
-    counted, filled, alone = passes(checks)
-    if lazy and len(counted) + bool(filled) + len(alone) > 1:
-        ensure_checkpoint_dir(wh.spark)
-        df = df.checkpoint()
     return failures(table, df, checks, lambda name: wh[name])
 
 

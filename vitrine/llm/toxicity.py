@@ -64,6 +64,17 @@ def read_words(texts: Texts) -> tuple[Vocabulary, np.ndarray, np.ndarray, np.nda
     return Vocabulary((hashes % np.uint64(WORDS)).astype(np.int64), grams, np.concatenate([[0], end])), which, words.first, words.last
 
 
+def read_all(texts: list[str]) -> tuple[Vocabulary, np.ndarray, np.ndarray, np.ndarray]:
+    """``read_words`` of many texts, some at a time; a word may have several numbers."""
+    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
+    parts = [read_words(texts_of(b.column("text"))) for b in slices(iter([batch]))]
+    rows, grams, words = (np.cumsum([0, *(n(p) for p in parts)]) for n in (lambda p: len(p[0].row), lambda p: len(p[0].grams), lambda p: len(p[1])))
+    at = np.concatenate([[0], *(p[0].at[1:] + g for p, g in zip(parts, grams, strict=False))])
+    v = Vocabulary(np.concatenate([p[0].row for p in parts]), np.concatenate([p[0].grams for p in parts]), at)
+    number, first, last = (np.concatenate([p[k] + o for p, o in zip(parts, shift, strict=False)]) for k, shift in ((1, rows), (2, words), (3, words)))
+    return v, number, first, last
+
+
 def part_of(v: Vocabulary, used: np.ndarray) -> Vocabulary:
     """The vocabulary of the words ``used`` alone."""
     size = np.diff(v.at)[used]
@@ -191,20 +202,17 @@ def train(rows: list[tuple[str, int]], epochs: int = 6, step: float = 0.01, wind
         net.constant = share
         return net
     rng = np.random.default_rng(seed)
-    v, number, first, last = read_words(texts_of(pa.array([t for t, _ in rows], pa.string())))
-    text = np.repeat(np.arange(len(rows)), last - first)
+    v, number, first, last = read_all([t for t, _ in rows])
     # log odds of the words and trigrams of toxic texts, each text counted once
-    def odds(key: np.ndarray, of: np.ndarray, width: int) -> np.ndarray:
-        pair = np.unique(key * len(rows) + of)
-        k, t = np.divmod(pair, len(rows))
-        pos = np.bincount(k, labels[t], minlength=width)
-        neg = np.bincount(k, minlength=width) - pos
-        a, b = labels.sum(), len(labels) - labels.sum()
-        value = np.log((pos + 2 * a / (a + b)) / (a + 2)) - np.log((neg + 2 * b / (a + b)) / (b + 2))
-        return np.where(pos + neg > 0, value, 0).astype(np.float32)
-
-    net.p["word"][:, 0] = 0.5 * odds(v.row[number], text, WORDS)
-    net.p["gram"][:, 0] = 0.5 * odds(part_of(v, number).grams, np.repeat(text, np.diff(v.at)[number]), GRAMS)
+    seen = {name: np.zeros((2, width)) for name, width in (("word", WORDS), ("gram", GRAMS))}
+    for i, y in enumerate(labels.astype(int)):
+        own = np.unique(number[first[i] : last[i]])
+        seen["word"][y, np.unique(v.row[own])] += 1
+        seen["gram"][y, np.unique(part_of(v, own).grams)] += 1
+    toxic, clean = labels.sum(), len(labels) - labels.sum()
+    for name, (neg, pos) in seen.items():
+        odds = np.log((pos + 2 * share) / (toxic + 2)) - np.log((neg + 2 * (1 - share)) / (clean + 2))
+        net.p[name][:, 0] = 0.5 * np.where(pos + neg > 0, odds, 0)
     net.p["bias"][0] = np.log(share / (1 - share))
     w_text, w_start, w_size = windows_of(first, last)
     count = np.bincount(w_text, minlength=len(rows))
@@ -265,7 +273,7 @@ def score_texts(net: Network, texts: Texts, at_once: int = 4096) -> np.ndarray:
 
 
 def toxicity_scores(
-    documents: DataFrame, labels: DataFrame, label: str = "toxic", parts: int = 4, held_out: int = 2, threshold: float = 0.3, sample: int = 4000, windows: int = 24, sample_bytes: int = 64 << 20
+    documents: DataFrame, labels: DataFrame, label: str = "toxic", parts: int = 4, held_out: int = 2, threshold: float = 0.3, sample: int = 4000, windows: int = 24, sample_bytes: int = 32 << 20
 ) -> DataFrame:
     """doc_id, held_out, score and predicted of each row of documents (doc_id and text).
 

@@ -67,6 +67,8 @@ def timed(build) -> float:
 def main() -> None:
     spark = local_session(CPUS, shuffle_partitions=int(CPUS), memory=os.environ.get("BENCH_MEMORY", "16g"))
     spark.sparkContext.setLogLevel("ERROR")
+    # Neither the first query's classes nor its compiled code should count as its work.
+    QUERIES["fct_finance_revenue_daily"](spark, SF_DIR).write.format("noop").mode("overwrite").save()
     times = {}
     if "--rewrites" in sys.argv:
         for name, (plain, used) in REWRITES.items():

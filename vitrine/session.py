@@ -57,6 +57,8 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, memory: st
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="vitrine-warehouse-"))
+        # Checkpoints go when nothing reads them any more.
+        .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
     )
     for key, value in SQL_CONF.items():
         builder = builder.config(key, value)

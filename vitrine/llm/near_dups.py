@@ -20,7 +20,7 @@ the threshold is passed over; sets of up to ``similarity * k`` shingles are comp
 Scale: copies are folded before anything else; values are counted with partial aggregation and joined by a join that
 splits hot keys. Lists and groups of any length are worked off in tiles of bounded size (two blocks of members), never
 as a whole; only documents that share most of their text with many others are in long ones. Pairs are compared inside
-a tile; rows grow with the members, times the blocks of a long list. Texts are read twice; the second time only documents
+a tile; what a task takes in grows with the members, times the blocks of a long list, and what it gives with the members. Texts are read twice; the second time only documents
 in candidate groups stay behind the join.
 
 Edge cases: NULL, empty and word-free texts have the empty set and no links. Rows with the same id are one document
@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.llm.components import components
-from vitrine.llm.storage import settled
+from vitrine.llm.storage import release, settled
 from vitrine.llm.text import ORDER_VALUES, Texts, mix, shingles, slices, texts_of, words_of
 
 
@@ -92,48 +92,70 @@ def least_overlap(s: int, k: int, similarity: float, sigmas: float) -> int:
     return max(1, math.floor(similarity * s - sigmas * math.sqrt(s * similarity * (1 - similarity))))
 
 
-class Forest:
-    """Union-find over the members of a tile."""
-
-    def __init__(self, n: int):
-        self.label = np.arange(n)
-
-    def join(self, a: int, b: int) -> bool:
-        x, y = self.label[a], self.label[b]
-        if x != y:
-            self.label[self.label == max(x, y)] = min(x, y)
-        return x != y
-
-
-def overlaps(sets: list[np.ndarray], left: int, columns: int = 4096) -> np.ndarray:
-    """Sizes of the intersections of the first ``left`` sets with the others (all with all, if ``left`` is 0).
-
-    Products of incidence matrices, some columns of shared values at a time.
-    """
-    owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
-    value = np.concatenate(sets)
-    order = np.argsort(value, kind="stable")
-    value, owner = value[order], owner[order]
-    new = np.ones(len(value), bool)
-    new[1:] = value[1:] != value[:-1]
-    start = np.flatnonzero(new)
-    size = np.diff(np.append(start, len(value)))
-    several = np.repeat(size > 1, size)
-    owner, code = owner[several], (np.cumsum(new[several]) - 1)
-    total = np.zeros((left or len(sets), len(sets) - left))
-    for c in range(0, int(code[-1]) + 1 if len(code) else 0, columns):
-        a, b = np.searchsorted(code, [c, c + columns])
-        there = np.zeros((len(sets), columns), np.float32)
-        there[owner[a:b], code[a:b] - c] = 1
-        total += there[: left or len(sets)] @ there[left:].T
-    return total
-
-
-def estimate(x: np.ndarray, y: np.ndarray, k: int) -> tuple[float, int]:
-    """Share of the union sketch that both sketches retain, and the union sketch's size."""
-    union = np.union1d(x, y)[:k]
-    both = np.intersect1d(x, y, assume_unique=True)
-    return float((both <= union[-1]).sum()) / len(union), len(union)
+class Tile:
+    """Incidence of members and values, some columns of shared values at a time, in the order of the values."""
+
+    def __init__(self, sets: list[np.ndarray]):
+        self.n = len(sets)
+        self.sizes = np.array([len(x) for x in sets])
+        owner = np.repeat(np.arange(self.n), self.sizes)
+        value = np.concatenate(sets)
+        order = np.argsort(value, kind="stable")
+        self.value, self.owner = value[order], owner[order]
+        new = np.ones(len(value), bool)
+        new[1:] = self.value[1:] != self.value[:-1]
+        start = np.flatnonzero(new)
+        size = np.diff(np.append(start, len(value)))
+        several = np.repeat(size > 1, size)
+        self.code = np.cumsum(new & several) - 1
+        self.several = several
+        self.shared = int(self.code[-1]) + 1 if len(self.code) else 0
+
+    def steps(self, columns: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """After each lot of columns: all overlaps so far, and how many values of each member lie in what was covered."""
+        total = np.zeros((self.n, self.n), np.float32)
+        have = np.zeros(self.n, np.int64)
+        done = 0
+        for c in range(0, max(1, self.shared), columns):
+            end = len(self.code) if c + columns >= self.shared else int(np.searchsorted(self.code, c + columns))
+            own, code = self.owner[done:end], self.code[done:end]
+            have = have + np.bincount(own, minlength=self.n)
+            some = self.several[done:end]
+            there = np.zeros((self.n, columns), np.float32)
+            there[own[some], code[some] - c] = 1
+            total = total + there @ there.T
+            done = end
+            yield total, have
+
+    def overlaps(self) -> np.ndarray:
+        """Sizes of the intersections of all members with all."""
+        for total, _ in self.steps(4096):
+            pass
+        return total
+
+    def estimates(self, k: int, lots: int = 8) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Share of the union sketch that both retain, for all pairs, the union sketch's size, and whether it is the union.
+
+        The union sketch is taken as far as the last lot of values that leaves it at ``k`` values or fewer.
+        """
+        both, union = np.zeros((self.n, self.n), np.float32), np.ones((self.n, self.n), np.float32)
+        for total, have in self.steps(max(1, -(-self.shared // lots))):
+            size = have[:, None] + have[None, :] - total
+            fits = (size <= k) & (size > 0)
+            both[fits], union[fits] = total[fits], size[fits]
+        return both / union, union, fits
+
+
+def connected(linked: np.ndarray) -> np.ndarray:
+    """For each member of a symmetric matrix of links the smallest member that it is connected with."""
+    label = np.arange(len(linked))
+    linked = linked | np.eye(len(linked), dtype=bool)
+    while True:
+        least = np.where(linked, label[None, :], len(label)).min(1)
+        least = least[least]
+        if (least == label).all():
+            return label
+        label = least
 
 
 def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -155,72 +177,44 @@ def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.T
         yield held
 
 
-def _spanning(doc: np.ndarray, pairs: Iterator[tuple[int, int]], confirm) -> list[tuple[int, int]]:
-    """A forest over the members, of pairs that ``confirm``; pairs already connected are not looked at."""
-    forest, out = Forest(len(doc)), []
-    for i, j in pairs:
-        if forest.label[i] != forest.label[j] and confirm(i, j):
-            forest.join(i, j)
-            if doc[i] != doc[j]:
-                out.append((int(doc[i]), int(doc[j])))
-    return out
+def _spanning(table: pa.Table, linked: np.ndarray) -> list[tuple[int, int]]:
+    """Pairs that connect a tile's members as their links do: one less than there are members in a connected part.
 
+    In a tile of two blocks only what joins the blocks is returned, a pair for each part that a block's own tile gives.
+    """
+    doc, block = table.column("doc").to_numpy(), table.column("block").to_numpy()
+    whole = connected(linked)
+    single = table.column("bi")[0].as_py() == table.column("bj")[0].as_py()
+    parts = np.arange(len(doc)) if single else np.unique(connected(linked & (block[:, None] == block[None, :])))
+    return [(a, b) for a, b in zip(doc[parts].tolist(), doc[whole[parts]].tolist(), strict=True) if a != b]
 
-def _tile_pairs(block: np.ndarray) -> tuple[list[int], list[int]]:
-    """Members of the tile's first block, and those of its second; a tile on the diagonal has but one."""
-    first = np.flatnonzero(block == block.min())
-    return first.tolist(), np.flatnonzero(block != block.min()).tolist()
+
+def _one_sided(table: pa.Table) -> bool:
+    """Whether a tile of two blocks has members of but one."""
+    block = table.column("block").to_numpy()
+    return table.column("bi")[0].as_py() != table.column("bj")[0].as_py() and bool((block == block[0]).all())
 
 
 def _candidates(table: pa.Table, k: int, similarity: float, sigmas: float) -> list[tuple[int, int]]:
-    doc, n, block = (table.column(c).to_numpy() for c in ("doc", "n", "block"))
-    tops = [np.unique(np.array(x, np.int32).view(np.uint32)) for x in table.column("top").to_pylist()]
-    left, right = _tile_pairs(block)
-    if table.column("bi")[0].as_py() != table.column("bj")[0].as_py() and not right:
+    if _one_sided(table):
         return []
-
-    def confirm(i: int, j: int) -> bool:
-        if min(n[i], n[j]) < similarity * max(n[i], n[j]) - 1e-9:
-            return False
-        share, size = estimate(tops[i], tops[j], k)
-        exact = n[i] <= k and n[j] <= k
-        return share >= similarity - (1e-9 if exact else sigmas * math.sqrt(similarity * (1 - similarity) / size))
-
-    if len(doc) <= 16:
-        pairs = ((i, j) for i in left for j in right) if right else ((i, j) for i in range(len(doc)) for j in range(i + 1, len(doc)))
-        return _spanning(doc, pairs, confirm)
-    order = left + right
-    shared = overlaps([tops[i] for i in order], len(left) if right else 0)
-    need = np.array([least_overlap(len(tops[i]), k, similarity, sigmas) for i in order])
-    least = np.minimum(need[: len(left)][:, None], need[len(left) :][None, :]) if right else np.minimum(need[:, None], need[None, :])
-    fits = shared >= least
-    if not right:
-        fits = np.triu(fits, 1)
-    a, b = np.nonzero(fits)
-    best = np.argsort(-shared[a, b], kind="stable")
-    place = np.array(order)
-    return _spanning(doc, zip(place[a[best]].tolist(), place[(b[best] + (len(left) if right else 0))].tolist(), strict=True), confirm)
+    n = table.column("n").to_numpy()
+    tops = table.column("top")
+    at = np.concatenate([[0], np.cumsum(pa.compute.list_value_length(tops).to_numpy())])
+    flat = tops.combine_chunks().flatten().to_numpy().view(np.uint32)
+    share, size, whole = Tile([np.unique(flat[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]).estimates(k)
+    exact = whole & (n[:, None] <= k) & (n[None, :] <= k)
+    slack = np.where(exact, 1e-6, sigmas * np.sqrt(similarity * (1 - similarity) / size))
+    alike = np.minimum(n[:, None], n[None, :]) >= similarity * np.maximum(n[:, None], n[None, :]) - 1e-9
+    return _spanning(table, alike & (share >= similarity - slack))
 
 
 def _links(table: pa.Table, percent: int) -> list[tuple[int, int]]:
-    doc, n, block = (table.column(c).to_numpy() for c in ("doc", "n", "block"))
-    left, right = _tile_pairs(block)
-    if table.column("bi")[0].as_py() != table.column("bj")[0].as_py() and not right:
+    if _one_sided(table):
         return []
-    sets = [np.frombuffer(x, "<u8") for x in table.column("members").to_pylist()]
-    linked = lambda i, j, o: 100 * o >= percent * (n[i] + n[j] - o)
-    if len(doc) <= 8:
-        pairs = ((i, j) for i in left for j in right) if right else ((i, j) for i in range(len(doc)) for j in range(i + 1, len(doc)))
-        alike = lambda i, j: 100 * min(n[i], n[j]) >= percent * max(n[i], n[j])
-        return _spanning(doc, pairs, lambda i, j: alike(i, j) and linked(i, j, len(np.intersect1d(sets[i], sets[j], assume_unique=True))))
-    order = left + right
-    shared = overlaps([sets[i] for i in order], len(left) if right else 0)
-    m = n[np.array(order)]
-    total = (m[: len(left)][:, None] + m[len(left) :][None, :] if right else m[:, None] + m[None, :]) - shared
-    fits = 100 * shared >= percent * total
-    a, b = np.nonzero(fits if right else np.triu(fits, 1))
-    place = np.array(order)
-    return _spanning(doc, zip(place[a].tolist(), place[b + (len(left) if right else 0)].tolist(), strict=True), lambda i, j: True)
+    n = table.column("n").to_numpy()
+    both = Tile([np.frombuffer(x, "<u8") for x in table.column("members").to_pylist()]).overlaps().astype(np.int64)
+    return _spanning(table, 100 * both >= percent * (n[:, None] + n[None, :] - both))
 
 
 def _tiles(rows: DataFrame, key: str, blocks: str, work) -> DataFrame:
@@ -279,6 +273,7 @@ def near_duplicates(
     members = prefix.join(reps.select("doc", "p1", "n", top.alias("top")), ["doc", "p1"]).select("doc", "n", "top", F.explode("prefix").alias("value")).join(lists, "value")
     found = _tiles(members, "value", "blocks", lambda t: _candidates(t, k, similarity, sigmas))
     group = components(found)
+    release(documents.sparkSession)
     sizes = rows.select("doc", "n").join(group, F.col("doc") == F.col("node")).select(F.col("component").alias("grp"), "n").groupBy("grp").agg(F.count("*").alias("m"), F.sum("n").alias("total"))
     sizes = sizes.select("grp", F.greatest(F.ceil(F.col("m") / tile), F.ceil(F.col("total") / tile_shingles)).cast("long").alias("blocks"))
     wanted = settled(group.join(sizes, F.col("component") == F.col("grp")).select(F.col("node").alias("doc"), "grp", "blocks"))

@@ -75,6 +75,7 @@ _CAMPAIGN = (
     + _among("channel", CHANNELS)
 )
 
+# The declared checks of each table.
 CHECKS: dict[str, list[Check]] = {
     **{f"stg_{name}": _key(key) for name, key in KEY_NAMES.items()},
     "dim_users": _key("user_key")

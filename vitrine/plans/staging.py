@@ -9,7 +9,7 @@ from vitrine.operators import latest_by
 from vitrine.plans.warehouse import Warehouse, model
 from vitrine.sources import LANDING
 
-# Name of the primary key after staging.
+# Name of the primary key after staging.
 KEY_NAMES = {
     "users": "user_id",
     "games": "game_id",

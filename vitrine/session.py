@@ -17,6 +17,8 @@ SQL_CONF = {
     # Split a hot join key even where that costs the next operator a shuffle.
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # A join on more than the key an input is partitioned by shuffles it anew, which ``lookup`` relies on.
+    "spark.sql.requireAllClusterKeysForCoPartition": "true",
     # A partitioned overwrite replaces only the partitions it writes.
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }

@@ -56,6 +56,7 @@ class Landing:
         return [n for n, t in self.columns.items() if t == _JSON]
 
 
+# Names and columns of the landing tables.
 LANDING: dict[str, Landing] = {
     "users": Landing(
         "id",

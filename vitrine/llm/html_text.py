@@ -12,7 +12,7 @@ out by tag, role, or a word of the class or id. Broken markup is read as browser
 paragraph, an end tag closes what is open inside it, stray end tags are nothing, raw text runs to its end tag.
 
 Scale: votes are counted with partial aggregation, a row for each host and path in a task; a host with a third of all pages
-has as many rows as it has paths. Pages meet their host's path in a join that Spark can split where a host is hot.
+has as many rows as it has paths. Pages meet their host's path in a join on the host and a salt, so that a hot host's are dealt over many tasks.
 Every page is parsed twice, as a whole.
 
 Edge cases: a NULL, empty or text-free page has the empty text; a NULL or odd url belongs to host ''; repeated rows vote
@@ -228,10 +228,12 @@ def host_paths(pages: DataFrame) -> DataFrame:
     return ranked.where("rank = 1").select("host", "path", "votes", "all_votes")
 
 
-def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
-    """page_id, url and text of each page."""
+def main_text(pages: DataFrame, page_id: str = "page_id", url: str = "url", html: str = "html", salts: int = 32) -> DataFrame:
+    """page_id, url and text of each page. A host's pages meet its path in up to ``salts`` partitions."""
     host = F.coalesce(F.lower(F.regexp_extract(url, r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1)), F.lit(""))
     kind = pages.schema[page_id].dataType.simpleString()
     rows = pages.select(F.col(page_id).alias("page_id"), F.col(url).alias("url"), F.col(html).alias("html"), host.alias("host"))
-    found = rows.join(host_paths(rows).select("host", "path"), "host", "left").select("page_id", "url", "html", "path")
+    paths = host_paths(rows).select("host", "path", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
+    dealt = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "html"), F.lit(salts)).cast("int"))
+    found = dealt.join(paths, ["host", "salt"], "left").select("page_id", "url", "html", "path")
     return found.mapInArrow(_texts, f"page_id {kind}, url string, text string").withColumnsRenamed({"page_id": page_id, "url": url})

@@ -31,7 +31,7 @@ from vitrine.llm.text import BYTE_VALUES, PLACE_VALUES, Texts, mix, slices, text
 
 PIECES = "doc long, start long, length long, ids_crc32 long, doc_tokens long"
 #: Units of text whose ids a worker remembers, at most.
-REMEMBERED = 600_000
+REMEMBERED = 400_000
 
 
 _LETTER = np.zeros(256, bool)
@@ -148,7 +148,7 @@ def cut_pieces(path: str, capacity: int, separator: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _held:
             _held[path] = Units(path)
-        for batch in slices(batches, at_most=2 << 20):
+        for batch in slices(batches):
             ids, ends = _held[path].encode(texts_of(batch.column("text")))
             doc, start, length, crc, whole = [], [], [], [], []
             low = 0

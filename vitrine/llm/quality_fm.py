@@ -48,7 +48,7 @@ def features(batch: pa.RecordBatch, buckets: int, metadata: tuple[str, ...]) ->
     value = np.sqrt(count)
     norm = np.sqrt(np.bincount(row, value**2, minlength=n))
     value = value / np.maximum(norm[row], 1)
-    got = statistics(batch)
+    got = statistics(texts)
     binned = [np.clip(got[f] * BINS // _REACH.get(f, 1200), 0, BINS - 1) for f in FEATURES]
     for name in metadata:
         meta = batch.column(name).cast(pa.float64()).fill_null(-1.0).to_numpy(zero_copy_only=False)

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.llm.storage import settled
-from vitrine.llm.text import SPACE, shingles, slices, texts_of, words_of
+from vitrine.llm.text import SPACE, Texts, shingles, slices, texts_of, words_of
 
 SYMBOLS = np.zeros(256, bool)
 SYMBOLS[list(b"#*$%&|<>")] = True
@@ -49,9 +49,8 @@ def _ratio(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.where(b > 0, a / np.maximum(b, 1), 0.0)
 
 
-def statistics(batch: pa.RecordBatch) -> dict[str, np.ndarray]:
-    """Counts of each text of a batch."""
-    texts = texts_of(batch.column("text"))
+def statistics(texts: Texts) -> dict[str, np.ndarray]:
+    """COUNTS and FEATURES of each text."""
     n = len(texts)
     words = words_of(texts)
     own = words.text
@@ -116,7 +115,7 @@ def text_statistics(documents: DataFrame, text: str = "text", keep: tuple[str, .
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            got = statistics(batch)
+            got = statistics(texts_of(batch.column("text")))
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in keep), *(pa.array(got[c].astype(np.int64)) for c in [*COUNTS, *FEATURES])], [*keep, *COUNTS, *FEATURES]
             )
@@ -135,13 +134,17 @@ def _values(batch: pa.RecordBatch) -> np.ndarray:
     return np.stack([batch.column(f).to_numpy(zero_copy_only=False) for f in FEATURES], 1).astype(np.int64)
 
 
-def _distances(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """Squared Mahalanobis distances of rows to the estimate they carry, and the row's limit."""
-    column = batch.column("p")
-    centre = column.field("centre").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, _D)
-    inverse = column.field("inverse").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, _D, _D)
-    diff = _values(batch) - centre
-    return np.maximum(np.einsum("ni,nij,nj->n", diff, inverse, diff), 0.0), column.field("most").to_numpy(zero_copy_only=False)
+def _distances(values: np.ndarray, estimates: pa.StructArray) -> np.ndarray:
+    """Squared Mahalanobis distances of rows to the estimates they carry; NaN for rows without one."""
+    known = estimates.is_valid().to_numpy(zero_copy_only=False)
+    out = np.full(len(values), np.nan)
+    if known.any():
+        own = estimates.filter(pa.array(known))
+        centre = own.field("centre").flatten().to_numpy(zero_copy_only=False).reshape(-1, _D)
+        inverse = own.field("inverse").flatten().to_numpy(zero_copy_only=False).reshape(-1, _D, _D)
+        diff = values[known] - centre
+        out[known] = np.maximum(np.einsum("ni,nij,nj->n", diff, inverse, diff), 0.0)
+    return out
 
 
 def _bins(distance: np.ndarray) -> np.ndarray:
@@ -153,7 +156,7 @@ def _count_bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
             group = batch.column("grp").dictionary_encode()
-            code, n = np.unique(np.stack([group.indices.to_numpy(), _bins(_distances(batch)[0])]), axis=1, return_counts=True)
+            code, n = np.unique(np.stack([group.indices.to_numpy(), _bins(_distances(_values(batch), batch.column("p")))]), axis=1, return_counts=True)
             yield pa.RecordBatch.from_arrays([group.dictionary.take(pa.array(code[0])), pa.array(code[1]), pa.array(n)], ["grp", "bin", "n"])
 
 
@@ -162,10 +165,10 @@ def _sum_moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if not batch.num_rows:
             continue
-        distance, most = _distances(batch)
-        inner = _bins(distance) <= most
+        values = _values(batch)
+        inner = _bins(_distances(values, batch.column("p"))) <= batch.column("p").field("most").to_numpy(zero_copy_only=False)
         group = batch.column("grp").dictionary_encode()
-        code, values = group.indices.to_numpy()[inner], _values(batch)[inner]
+        code, values = group.indices.to_numpy()[inner], values[inner]
         terms = np.concatenate([np.ones((len(values), 1), np.int64), values, *(values[:, [i]] * values[:, [j]] for i, j in _PAIRS)], 1)
         order = np.argsort(code, kind="stable")
         some, at = np.unique(code[order], return_index=True)
@@ -246,21 +249,23 @@ def _consistency(share: float, draws: int = 200_000) -> float:
 def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
-            known = batch.column("p").is_valid().to_numpy(zero_copy_only=False)
-            distance = np.zeros(batch.num_rows)
-            if known.any():
-                distance[known] = _distances(batch.filter(pa.array(known)))[0]
+            distance = _distances(_values(batch), batch.column("p"))
             names = [c for c in batch.schema.names if c != "p"]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(distance, mask=~known)], [*names, "distance"])
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in names), pa.array(distance, from_pandas=True)], [*names, "distance"])
+
+
+def _groups(rows: DataFrame, lang: str, source: str) -> DataFrame:
+    """Rows with the names of their language and of their language and source; NULL is a name of its own."""
+    key = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null"))
+    return rows.withColumn("lang_grp", F.concat(F.lit("lang "), key(lang))).withColumn("grp", F.concat_ws(" ", "lang_grp", F.lit("source"), key(source)))
 
 
 def _prepared(documents: DataFrame, text: str, keep: list[str], lang: str, source: str) -> tuple[DataFrame, list[str]]:
     """COUNTS and FEATURES of all rows, with their groups and the columns ``keep`` under names of our own."""
     names = [f"_in_{i}" for i in range(len(keep))]
     renamed = documents.select(*(F.col(f"`{c}`").alias(n) for c, n in zip(keep, names, strict=True)), F.col(f"`{lang}`").alias("_lang"), F.col(f"`{source}`").alias("_source"), F.col(text).alias("text"))
-    key = lambda c: F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("null"))
-    measured = text_statistics(renamed, "text", (*names, "_lang", "_source")).withColumn("lang_grp", F.concat(F.lit("lang "), key("_lang")))
-    return measured.withColumn("grp", F.concat_ws(" ", "lang_grp", F.lit("source"), key("_source"))).drop("_lang", "_source"), names
+    measured = text_statistics(renamed, "text", (*names, "_lang", "_source"))
+    return _groups(measured, "_lang", "_source").drop("_lang", "_source"), names
 
 
 def _judged(vectors: DataFrame, names: list[str], keep: list[str], parameters: dict, cutoff: float, max_groups: int) -> DataFrame:
@@ -297,6 +302,17 @@ def keep_good(
     """The rows of documents that the rules keep. Texts are measured again in the pass that filters them, not shuffled."""
     thin, _ = _prepared(documents, text, [], lang, source)
     parameters = fit(settled(thin).where("n_words > 0"), kept_share, steps, least_rows, max_groups)
-    whole, names = _prepared(documents, text, documents.columns, lang, source)
-    judged = _judged(whole, names, [f"_out_{i}" for i in range(len(names))], parameters, cutoff, max_groups).where("kept")
-    return judged.select(*(F.col(f"_out_{i}").alias(c) for i, c in enumerate(documents.columns)))
+    names = {c: f"_in_{i}" for i, c in enumerate(documents.columns)}
+    rows = documents.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items()))
+    grouped = _groups(rows, names[lang], names[source]).drop("lang_grp")
+    joined = _joined(grouped, _table(documents.sparkSession, parameters, {}), len(parameters), max_groups, "left").drop("grp")
+
+    def sift(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, names[text]):
+            got = statistics(texts_of(batch.column(names[text])))
+            distance = _distances(np.stack([got[f] for f in FEATURES], 1), batch.column("p"))
+            good = (got["n_words"] >= 10) & (100 * got["n_repeat_words"] <= 20 * got["n_words"]) & (np.nan_to_num(distance) <= cutoff)
+            yield batch.select(list(names.values())).filter(pa.array(good))
+
+    kept = joined.mapInArrow(sift, rows.schema)
+    return kept.select(*(F.col(n).alias(c) for c, n in names.items()))

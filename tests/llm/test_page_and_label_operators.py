@@ -241,6 +241,25 @@ def test_classifiers_on_edge_rows(spark, scores, label, other):
     assert scores(documents.limit(0), both).count() == 0
 
 
+def test_an_over_long_text_does_not_end_the_sample(spark):
+    labels = spark.range(64).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    learned = labels.where(toxicity.remainder("doc_id", 4) != 2).orderBy(F.xxhash64("doc_id")).collect()
+    first = next(r.doc_id for r in learned if not r.toxic) if learned[0].toxic else learned[0].doc_id
+    labels = labels.where((F.xxhash64("doc_id") >= F.xxhash64(F.lit(first))) | (F.col("doc_id") == first))
+    text = F.when(F.col("toxic") == 1, F.concat(F.lit("you absolute fool number "), "doc_id")).otherwise(F.concat(F.lit("a fine warm day number "), "doc_id"))
+    documents = labels.select("doc_id", F.when(F.col("doc_id") == first, F.concat(text, F.expr(f"repeat(' ', {33 << 20})"))).otherwise(text).alias("text"))
+    got = toxicity.toxicity_scores(documents, labels).join(labels, "doc_id").collect()
+    assert min(r.score for r in got if r.toxic) > max(r.score for r in got if not r.toxic)
+
+
+def test_packed_words_give_the_same_inputs():
+    net = toxicity.Network(3)
+    v = toxicity.read_words(texts_of(pa.array(["aaaaaaaa banana", "you fool " + "x" * 100_000])))[0]
+    parts = [toxicity.packed(toxicity.part_of(v, np.array([k]))) for k in range(len(v.row))]
+    assert all(len(p[2]) <= 2 * toxicity.GRAMS for p in parts) and sum(len(p[2]) for p in parts) < 100
+    assert np.allclose(net.inputs(toxicity.unpacked(parts)), net.inputs(v), atol=1e-4)
+
+
 # ---------------------------------------------------------------- registered queries
 
 

@@ -6,12 +6,14 @@ gated recurrent units read a window of ``WINDOW`` words, one in each direction;
 unit scores the window. A text's score is that of its worst window. Windows overlap by ``WINDOW - STRIDE`` words and cover
 every word of every text; a shorter text is one window.
 
-Training is plain numpy on the driver: backpropagation through time with Adam, over a sample of at most ``sample``
-labelled documents chosen by a hash of their id, of each at most ``windows`` windows spread evenly over it (a bound on what
-is learned from, never on what is scored). A sampled text's error goes to its worst window. Identifiers, language, source
-and labels are not among the inputs.
-
-Scale: the model is a fixed number of floats. Scoring is one pass over the texts without a shuffle; inputs are computed
+Training is backpropagation through time with Adam, over a sample of at most ``sample`` labelled documents chosen by a hash of
+their id, of each at most ``windows`` windows spread evenly over it (a bound on what is learned from, never on what is
+scored). A sampled text's error goes to its worst window. Sampled texts stay in the tasks, however long: these count words for
+the log odds, and before each epoch look for every text's worst window (by the log odds before the first). The driver gets
+that window as rows of the tables, at most ``WINDOW`` words of at most ``GRAMS`` trigrams, and does the epoch in numpy.
+Identifiers, language, source and labels are not among the inputs.
+
+Scale: the model is a fixed number of floats. The sample is written once to the shared folder. Scoring is one pass over the texts without a shuffle; inputs are computed
 once per distinct word of a batch, and windows of many texts are run through the network together.
 
 Edge cases: NULL, empty and word-free texts are scored by the bias. Without labels the score is 0.5; with one class only its
@@ -30,6 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.llm.labelled import learning_sample, remainder
+from vitrine.llm.storage import settled
 from vitrine.llm.text import BYTE_VALUES, NON_ALNUM, ORDER_VALUES, Texts, mix, slices, texts_of, words_of
 
 WINDOW, STRIDE = 32, 24
@@ -41,11 +44,12 @@ E = E_WORD + E_GRAM
 
 @dataclass
 class Vocabulary:
-    """Distinct words of some texts: their row in the table of words, and their trigrams' rows (a list for each)."""
+    """Distinct words of some texts: their row in the table of words, and their trigrams' rows and weights (a list for each)."""
 
     row: np.ndarray
     grams: np.ndarray
     at: np.ndarray
+    weight: np.ndarray
 
 
 def read_words(texts: Texts) -> tuple[Vocabulary, np.ndarray, np.ndarray, np.ndarray]:
@@ -61,25 +65,31 @@ def read_words(texts: Texts) -> tuple[Vocabulary, np.ndarray, np.ndarray, np.nda
     byte = lambda k: np.where((place + k >= 0) & (place + k < size[owner]), low[np.clip(start[owner] + place + k, 0, max(0, len(low) - 1))], 0x20) if len(owner) else place
     total = sum(BYTE_VALUES[byte(k)] * ORDER_VALUES[k + 1] for k in (-1, 0, 1)) if len(owner) else np.zeros(0, np.uint64)
     grams = (mix(total) % np.uint64(GRAMS)).astype(np.int64)
-    return Vocabulary((hashes % np.uint64(WORDS)).astype(np.int64), grams, np.concatenate([[0], end])), which, words.first, words.last
-
-
-def read_all(texts: list[str]) -> tuple[Vocabulary, np.ndarray, np.ndarray, np.ndarray]:
-    """``read_words`` of many texts, some at a time; a word may have several numbers."""
-    batch = pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], ["text"])
-    parts = [read_words(texts_of(b.column("text"))) for b in slices(iter([batch]))]
-    rows, grams, words = (np.cumsum([0, *(n(p) for p in parts)]) for n in (lambda p: len(p[0].row), lambda p: len(p[0].grams), lambda p: len(p[1])))
-    at = np.concatenate([[0], *(p[0].at[1:] + g for p, g in zip(parts, grams, strict=False))])
-    v = Vocabulary(np.concatenate([p[0].row for p in parts]), np.concatenate([p[0].grams for p in parts]), at)
-    number, first, last = (np.concatenate([p[k] + o for p, o in zip(parts, shift, strict=False)]) for k, shift in ((1, rows), (2, words), (3, words)))
-    return v, number, first, last
+    weight = np.repeat(1 / np.sqrt(size), size).astype(np.float32)
+    return Vocabulary((hashes % np.uint64(WORDS)).astype(np.int64), grams, np.concatenate([[0], end]), weight), which, words.first, words.last
 
 
 def part_of(v: Vocabulary, used: np.ndarray) -> Vocabulary:
     """The vocabulary of the words ``used`` alone."""
     size = np.diff(v.at)[used]
     end = np.cumsum(size)
-    return Vocabulary(v.row[used], v.grams[np.repeat(v.at[used] - (end - size), size) + np.arange(end[-1] if len(end) else 0)], np.concatenate([[0], end]))
+    which = np.repeat(v.at[used] - (end - size), size) + np.arange(end[-1] if len(end) else 0)
+    return Vocabulary(v.row[used], v.grams[which], np.concatenate([[0], end]), v.weight[which])
+
+
+def packed(v: Vocabulary) -> tuple[bytes, bytes, bytes, bytes]:
+    """Rows, numbers of trigrams, trigrams and weights of a vocabulary; equal trigrams of a word become one, so that no word is large."""
+    key, which = np.unique(np.repeat(np.arange(len(v.row)), np.diff(v.at)) * GRAMS + v.grams, return_inverse=True)
+    owner, grams = np.divmod(key, GRAMS)
+    size = np.bincount(owner, minlength=len(v.row))
+    weight = np.bincount(which, v.weight, minlength=len(key))
+    return v.row.astype(np.uint16).tobytes(), size.astype(np.int32).tobytes(), grams.astype(np.uint16).tobytes(), weight.astype(np.float32).tobytes()
+
+
+def unpacked(parts: list[tuple[bytes, bytes, bytes, bytes]]) -> Vocabulary:
+    """The words of many packed vocabularies, one after the other."""
+    row, size, grams, weight = (np.frombuffer(b"".join(p[k] for p in parts), t) for k, t in enumerate((np.uint16, np.int32, np.uint16, np.float32)))
+    return Vocabulary(row.astype(np.int64), grams.astype(np.int64), np.concatenate([[0], np.cumsum(size, dtype=np.int64)]), weight)
 
 
 def windows_of(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -110,8 +120,7 @@ class Network:
 
     def inputs(self, v: Vocabulary) -> np.ndarray:
         """Input vector of each word of a vocabulary."""
-        count = np.sqrt(np.maximum(np.diff(v.at), 1))
-        grams = np.add.reduceat(self.p["gram"][v.grams], v.at[:-1], axis=0) / count[:, None] if len(v.grams) else np.zeros((len(v.row), E_GRAM), np.float32)
+        grams = np.add.reduceat(self.p["gram"][v.grams] * v.weight[:, None], v.at[:-1], axis=0) if len(v.grams) else np.zeros((len(v.row), E_GRAM), np.float32)
         return np.concatenate([self.p["word"][v.row], grams], 1).astype(np.float32)
 
     def _unit(self, d: str, x: np.ndarray, mask: np.ndarray, keep: list | None) -> np.ndarray:
@@ -182,8 +191,7 @@ class Network:
             g[f"x{d}"] = table.T @ projected
             d_table += projected @ p[f"x{d}"].T
         g["word"] = (v.row, d_table[:, :E_WORD])
-        count = np.sqrt(np.maximum(np.diff(v.at), 1))
-        g["gram"] = (v.grams, np.repeat(d_table[:, E_WORD:] / count[:, None], np.diff(v.at), axis=0))
+        g["gram"] = (v.grams, np.repeat(d_table[:, E_WORD:], np.diff(v.at), axis=0) * v.weight[:, None])
         return g
 
 
@@ -194,51 +202,90 @@ def _batch(index_of_word: np.ndarray, start: np.ndarray, size: np.ndarray) -> tu
     return index_of_word[np.where(mask, start[None, :] + step, start[None, :])], mask.astype(np.float32)
 
 
-def train(rows: list[tuple[str, int]], epochs: int = 6, step: float = 0.01, windows: int = 24, seed: int = 11) -> Network:
+def worst_windows(net: Network, texts: Texts, odds: bool = False, windows: int | None = None, at_once: int = 4096) -> tuple[np.ndarray, list[Vocabulary | None]]:
+    """The logit of each text's worst window, and that window's words; -inf and None without words.
+
+    odds: windows are judged by the mean of the first channels of their words, before anything is learned.
+    """
+    worst, best = np.full(len(texts), -np.inf), np.zeros(len(texts), np.int64)
+    v, number, first, last = read_words(texts)
+    text, start, size = windows_of(first, last)
+    if windows:  # long texts: every n-th window
+        count = np.bincount(text, minlength=len(texts))
+        k = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
+        chosen = k % np.maximum(1, -(-count // windows))[text] == 0
+        text, start, size = text[chosen], start[chosen], size[chosen]
+    table = net.inputs(v)
+    for s in range(0, len(text), at_once):
+        index, mask = _batch(number, start[s : s + at_once], size[s : s + at_once])
+        logit = ((table[:, 0] + table[:, E_WORD])[index] * mask).sum(0) / mask.sum(0) if odds else net.run(table, index, mask)
+        own = text[s : s + at_once]
+        order = np.lexsort((-logit, own))  # the first of a text is its worst, of equal ones the earliest
+        order = order[np.append(True, np.diff(own[order]) > 0)]
+        order = order[logit[order] > worst[own[order]]]
+        worst[own[order]], best[own[order]] = logit[order], s + order
+    found = (number[start[k] : start[k] + size[k]] if w > -np.inf else None for k, w in zip(best, worst, strict=True))
+    return worst, [part_of(v, used) if used is not None else None for used in found]
+
+
+def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many clean and toxic texts each row of words, then of trigrams, occurs; at last the numbers of texts."""
+    for batch in slices(batches):
+        v, number, first, last = read_words(texts_of(batch.column("text")))
+        seen = np.zeros((2, WORDS + GRAMS + 1), np.int64)
+        for i, y in enumerate(batch.column("label").to_pylist()):
+            own = np.unique(number[first[i] : last[i]])
+            seen[y, np.unique(v.row[own])] += 1
+            seen[y, WORDS + np.unique(part_of(v, own).grams)] += 1
+            seen[y, -1] += 1
+        at = np.flatnonzero(seen.any(0))
+        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (at, seen[0, at], seen[1, at])], ["at", "clean", "toxic"])
+
+
+def train(chosen: DataFrame, epochs: int = 6, step: float = 0.01, windows: int = 24, seed: int = 11) -> Network:
+    """Learns from rows of doc_id, text and label. Texts stay in the tasks; the driver sees one window of each, packed."""
     net = Network(seed)
-    labels = np.array([y for _, y in rows], np.float32)
-    share = float((labels.sum() + 0.5) / (len(labels) + 1)) if len(labels) else 0.5
-    if not len(labels) or labels.min() == labels.max():
+    seen = np.zeros((2, WORDS + GRAMS + 1))
+    for r in chosen.mapInArrow(_seen, "at long, clean long, toxic long").groupBy("at").sum("clean", "toxic").collect():  # at most a row for each of the tables
+        seen[:, r[0]] = r[1], r[2]
+    clean, toxic = seen[:, -1]
+    share = float((toxic + 0.5) / (clean + toxic + 1))
+    if not clean or not toxic:
         net.constant = share
         return net
-    rng = np.random.default_rng(seed)
-    v, number, first, last = read_all([t for t, _ in rows])
     # log odds of the words and trigrams of toxic texts, each text counted once
-    seen = {name: np.zeros((2, width)) for name, width in (("word", WORDS), ("gram", GRAMS))}
-    for i, y in enumerate(labels.astype(int)):
-        own = np.unique(number[first[i] : last[i]])
-        seen["word"][y, np.unique(v.row[own])] += 1
-        seen["gram"][y, np.unique(part_of(v, own).grams)] += 1
-    toxic, clean = labels.sum(), len(labels) - labels.sum()
-    for name, (neg, pos) in seen.items():
+    for name, (neg, pos) in (("word", seen[:, :WORDS]), ("gram", seen[:, WORDS:-1])):
         odds = np.log((pos + 2 * share) / (toxic + 2)) - np.log((neg + 2 * (1 - share)) / (clean + 2))
         net.p[name][:, 0] = 0.5 * np.where(pos + neg > 0, odds, 0)
     net.p["bias"][0] = np.log(share / (1 - share))
-    w_text, w_start, w_size = windows_of(first, last)
-    count = np.bincount(w_text, minlength=len(rows))
-    k = np.arange(len(w_text)) - np.repeat(np.cumsum(count) - count, count)
-    every = np.maximum(1, -(-count // windows))  # long texts: every n-th window
-    chosen = k % every[w_text] == 0
-    w_text, w_start, w_size = w_text[chosen], w_start[chosen], w_size[chosen]
-    begin = np.searchsorted(w_text, np.arange(len(rows) + 1))
+    rng = np.random.default_rng(seed)
     moment = {n: (np.zeros_like(x), np.zeros_like(x)) for n, x in net.p.items()}
     turn = 0
-    usable = np.flatnonzero(np.diff(begin) > 0)
     for epoch in range(epochs):
+
+        def worst(batches: Iterator[pa.RecordBatch], odds: bool = epoch == 0) -> Iterator[pa.RecordBatch]:
+            for batch in slices(batches):
+                found = worst_windows(net, texts_of(batch.column("text")), odds, windows)[1]
+                kept = [k for k, v in enumerate(found) if v is not None]
+                parts = [packed(found[k]) for k in kept]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").take(pa.array(kept, pa.int64())), batch.column("label").take(pa.array(kept, pa.int64())), *(pa.array([p[k] for p in parts], pa.binary()) for k in range(4))],
+                    ["doc_id", "label", "row", "size", "grams", "weight"],
+                )
+
+        got = chosen.mapInArrow(worst, "doc_id long, label int, row binary, size binary, grams binary, weight binary").collect()  # a window of each text
+        rows = sorted((r[0], *map(bytes, r[2:]), r[1]) for r in got)
+        labels = np.array([r[-1] for r in rows], np.float32)
+        v = unpacked([r[1:5] for r in rows])
+        size = np.array([len(r[1]) // 2 for r in rows], np.int64)
+        start = np.cumsum(size) - size
         rate = step * (1 - epoch / epochs) + 1e-3
-        for some in np.array_split(rng.permutation(usable), max(1, len(usable) // 48)):
-            own = np.concatenate([np.arange(begin[i], begin[i + 1]) for i in some])
-            index, mask = _batch(number, w_start[own], w_size[own])
-            used, index = np.unique(index, return_inverse=True)
-            logit = net.run(net.inputs(part_of(v, used)), index.reshape(mask.shape), mask)
-            sizes = np.diff(begin)[some]
-            at = np.cumsum(sizes) - sizes
-            worst = np.array([a + int(np.argmax(logit[a : a + n])) for a, n in zip(at, sizes, strict=True)])
-            trace: dict = {}
-            index, mask = _batch(number, w_start[own[worst]], w_size[own[worst]])
+        for some in np.array_split(rng.permutation(len(rows)), max(1, len(rows) // 48)) if rows else ():
+            index, mask = _batch(np.arange(len(v.row)), start[some], size[some])
             used, index = np.unique(index, return_inverse=True)
             few, index = part_of(v, used), index.reshape(mask.shape)
             table = net.inputs(few)
+            trace: dict = {}
             error = (_sigmoid(net.run(table, index, mask, trace)) - labels[some]).astype(np.float32) / len(some)
             turn += 1
             for name, g in net.gradients(few, table, index, mask, trace, error).items():
@@ -273,20 +320,11 @@ def score_texts(net: Network, texts: Texts, at_once: int = 4096) -> np.ndarray:
 
 
 def toxicity_scores(
-    documents: DataFrame, labels: DataFrame, label: str = "toxic", parts: int = 4, held_out: int = 2, threshold: float = 0.3, sample: int = 4000, windows: int = 24, sample_bytes: int = 32 << 20
+    documents: DataFrame, labels: DataFrame, label: str = "toxic", parts: int = 4, held_out: int = 2, threshold: float = 0.3, sample: int = 4000, windows: int = 24
 ) -> DataFrame:
-    """doc_id, held_out, score and predicted of each row of documents (doc_id and text).
-
-    The sample is cut by texts to ``sample_bytes`` in the order of the ids' hash, a bound for the driver.
-    """
+    """doc_id, held_out, score and predicted of each row of documents (doc_id and text)."""
     docs = documents.select("doc_id", "text")
-    chosen = learning_sample(docs, labels, label, parts, held_out, sample)
-    sizes = sorted(map(tuple, chosen.select(F.xxhash64("doc_id"), "doc_id", F.coalesce(F.octet_length("text"), F.lit(0))).collect()))
-    total = np.cumsum([s for _, _, s in sizes]) if sizes else np.zeros(0)
-    within = {d for (_, d, _), t in zip(sizes, total, strict=True) if t <= sample_bytes}
-    wanted = chosen if len(within) == len(sizes) else chosen.where(F.col("doc_id").isin(list(within)))
-    rows = sorted((r["doc_id"], r["text"] or "", r["label"]) for r in wanted.collect())
-    net = train([(t, y) for _, t, y in rows], windows=windows)
+    net = train(settled(learning_sample(docs, labels, label, parts, held_out, sample)), windows=windows)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):

@@ -252,6 +252,15 @@ def test_an_over_long_text_does_not_end_the_sample(spark):
     assert min(r.score for r in got if r.toxic) > max(r.score for r in got if not r.toxic)
 
 
+def test_every_window_of_a_sampled_text_is_learned_from(spark):
+    """The insult stands in the second window alone, of some fifty."""
+    filler = [f"wort{k}" for k in range(40)] * 30
+    rows = [(i, " ".join([*filler[:36], "halunke" if i % 2 else "nachbar", *filler[36:]]), i % 2) for i in range(32)]
+    net = toxicity.train(spark.createDataFrame(rows, "doc_id long, text string, label int"))
+    row = int(toxicity.read_words(texts_of(pa.array(["halunke"])))[0].row[0])
+    assert (net.p["word"][row, 1:] != toxicity.Network(11).p["word"][row, 1:]).any()
+
+
 def test_packed_words_give_the_same_inputs():
     net = toxicity.Network(3)
     v = toxicity.read_words(texts_of(pa.array(["aaaaaaaa banana", "you fool " + "x" * 100_000])))[0]

@@ -7,8 +7,7 @@ unit scores the window. A text's score is that of its worst window. Windows over
 every word of every text; a shorter text is one window.
 
 Training is backpropagation through time with Adam, over a sample of at most ``sample`` labelled documents chosen by a hash of
-their id, of each at most ``windows`` windows spread evenly over it (a bound on what is learned from, never on what is
-scored). A sampled text's error goes to its worst window. Sampled texts stay in the tasks, however long: these count words for
+their id, and all windows of these. A sampled text's error goes to its worst window. Sampled texts stay in the tasks, however long: these count words for
 the log odds, and before each epoch look for every text's worst window (by the log odds before the first). The driver gets
 that window as rows of the tables, at most ``WINDOW`` words of at most ``GRAMS`` trigrams, and does the epoch in numpy.
 Identifiers, language, source and labels are not among the inputs.
@@ -202,7 +201,7 @@ def _batch(index_of_word: np.ndarray, start: np.ndarray, size: np.ndarray) -> tu
     return index_of_word[np.where(mask, start[None, :] + step, start[None, :])], mask.astype(np.float32)
 
 
-def worst_windows(net: Network, texts: Texts, odds: bool = False, windows: int | None = None, at_once: int = 4096) -> tuple[np.ndarray, list[Vocabulary | None]]:
+def worst_windows(net: Network, texts: Texts, odds: bool = False, at_once: int = 4096) -> tuple[np.ndarray, list[Vocabulary | None]]:
     """The logit of each text's worst window, and that window's words; -inf and None without words.
 
     odds: windows are judged by the mean of the first channels of their words, before anything is learned.
@@ -210,11 +209,6 @@ def worst_windows(net: Network, texts: Texts, odds: bool = False, windows: int |
     worst, best = np.full(len(texts), -np.inf), np.zeros(len(texts), np.int64)
     v, number, first, last = read_words(texts)
     text, start, size = windows_of(first, last)
-    if windows:  # long texts: every n-th window
-        count = np.bincount(text, minlength=len(texts))
-        k = np.arange(len(text)) - np.repeat(np.cumsum(count) - count, count)
-        chosen = k % np.maximum(1, -(-count // windows))[text] == 0
-        text, start, size = text[chosen], start[chosen], size[chosen]
     table = net.inputs(v)
     for s in range(0, len(text), at_once):
         index, mask = _batch(number, start[s : s + at_once], size[s : s + at_once])
@@ -242,7 +236,7 @@ def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(x) for x in (at, seen[0, at], seen[1, at])], ["at", "clean", "toxic"])
 
 
-def train(chosen: DataFrame, epochs: int = 6, step: float = 0.01, windows: int = 24, seed: int = 11) -> Network:
+def train(chosen: DataFrame, epochs: int = 6, step: float = 0.01, seed: int = 11) -> Network:
     """Learns from rows of doc_id, text and label. Texts stay in the tasks; the driver sees one window of each, packed."""
     net = Network(seed)
     seen = np.zeros((2, WORDS + GRAMS + 1))
@@ -265,7 +259,7 @@ def train(chosen: DataFrame, epochs: int = 6, step: float = 0.01, windows: int =
 
         def worst(batches: Iterator[pa.RecordBatch], odds: bool = epoch == 0) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches):
-                found = worst_windows(net, texts_of(batch.column("text")), odds, windows)[1]
+                found = worst_windows(net, texts_of(batch.column("text")), odds)[1]
                 kept = [k for k, v in enumerate(found) if v is not None]
                 parts = [packed(found[k]) for k in kept]
                 yield pa.RecordBatch.from_arrays(
@@ -320,11 +314,11 @@ def score_texts(net: Network, texts: Texts, at_once: int = 4096) -> np.ndarray:
 
 
 def toxicity_scores(
-    documents: DataFrame, labels: DataFrame, label: str = "toxic", parts: int = 4, held_out: int = 2, threshold: float = 0.3, sample: int = 4000, windows: int = 24
+    documents: DataFrame, labels: DataFrame, label: str = "toxic", parts: int = 4, held_out: int = 2, threshold: float = 0.3, sample: int = 4000
 ) -> DataFrame:
     """doc_id, held_out, score and predicted of each row of documents (doc_id and text)."""
     docs = documents.select("doc_id", "text")
-    net = train(settled(learning_sample(docs, labels, label, parts, held_out, sample)), windows=windows)
+    net = train(settled(learning_sample(docs, labels, label, parts, held_out, sample)))
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from harness import compare
 from vitrine.llm import html_text, quality_fm, queries, sharding, toxicity, warc
+from vitrine.llm.labelled import learning_sample
 from vitrine.llm.text import texts_of
 
 PAGES = "page_id long, url string, html string"
@@ -261,6 +262,18 @@ def test_every_window_of_a_sampled_text_is_learned_from(spark):
     assert (net.p["word"][row, 1:] != toxicity.Network(11).p["word"][row, 1:]).any()
 
 
+def test_a_repeated_id_is_learned_from_once(spark):
+    """The row that stands for an id does not depend on the order of rows, and equal copies are one."""
+    rows = [(1, f"copy {k % 7}", None) for k in range(500)] + [(2, None, 4), (2, None, 4), (3, "three", 5), (4, "not labelled", 6)]
+    labels = spark.createDataFrame([(i, i % 2) for i in (1, 2, 3)], "doc_id long, toxic int")
+    found = []
+    for order in (rows, rows[::-1]):
+        documents = spark.createDataFrame(order, "doc_id long, text string, n_chars long").repartition(5)
+        found.append(sorted(map(tuple, learning_sample(documents, labels, "toxic", 4, 9, 100).collect())))
+    assert found[0] == found[1] and [r[0] for r in found[0]] == [1, 2, 3]
+    assert found[0][0][1].startswith("copy") and found[0][1:] == [(2, None, 4, 0), (3, "three", 5, 1)]
+
+
 def test_packed_words_give_the_same_inputs():
     net = toxicity.Network(3)
     v = toxicity.read_words(texts_of(pa.array(["aaaaaaaa banana", "you fool " + "x" * 100_000])))[0]

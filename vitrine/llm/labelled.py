@@ -12,13 +12,17 @@ def remainder(doc_id: str, parts: int):
 
 
 def learning_sample(documents: DataFrame, labels: DataFrame, label: str, parts: int, held_out: int, rows: int) -> DataFrame:
-    """Documents, with ``label``, of at most ``rows`` labelled documents that are not held out.
+    """At most ``rows`` labelled documents that are not held out, a row each, with ``label``.
 
     Labels are 0 or 1, one for each id (the larger, should an id have several). Which of more than ``rows`` labels are taken
-    depends on a hash of the id alone. The sample's ids, and they alone, are broadcast.
+    depends on a hash of the id alone. The sample's ids, and they alone, are broadcast. Of several rows of an id the one with the
+    least hash of the other columns stands for it; a task sends one row per id however many copies it read.
     """
     wanted = labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull() & (remainder("doc_id", parts) != held_out))
     wanted = wanted.groupBy("doc_id").agg(F.max(label).cast("int").alias("label"))
     some = wanted.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows).collect()  # at most ``rows`` pairs of numbers
     table = documents.sparkSession.createDataFrame([(r[0], r[1]) for r in some], "doc_id long, label int")
-    return documents.join(F.broadcast(table), "doc_id")
+    others = [c for c in documents.columns if c != "doc_id"]
+    least = F.min(F.struct(F.xxhash64(*others).alias("hash"), *(F.col(c).alias(f"c{k}") for k, c in enumerate(others))))
+    one = documents.join(F.broadcast(table), "doc_id").groupBy("doc_id", "label").agg(least.alias("least"))
+    return one.select("doc_id", *(F.col(f"least.c{k}").alias(c) for k, c in enumerate(others)), "label")

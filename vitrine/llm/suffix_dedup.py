@@ -1,10 +1,10 @@
-"""Repeated passages by distributed prefix doubling.
+"""Repeated passages by sorting hashed ranks of half-strings.
 
 A position is repeated when the ``threshold`` bytes from it on also start earlier (smaller document, or same document and
-earlier byte). Every byte under a repeated position is removed; all positions are judged on the input. Positions and
-the ranks of the bytes from them on are sorted by Spark, at growing offsets, until a rank is unique or covers
-``threshold`` bytes. The rank of half a threshold is a 64 bit hash, which names equal strings equally in every task
-without a shuffle; a longer string's rank is the pair (or triple) of its parts' ranks at their offsets.
+earlier byte). Every byte under a repeated position is removed; all positions are judged on the input. There
+are no doubling rounds: the rank of half a threshold is a 64 bit hash, which names equal strings equally in every task without
+a shuffle; a longer string's rank is the pair (or triple) of its parts' ranks at their offsets. Spark sorts anchors once by
+triple, and the positions still open once by pair.
 
 1. Half the threshold. Of the positions whose window holds a half-string, the one at the window's least rank stands for
    all windows that share it ("anchor"). Equal windows have equal anchors at equal places, so a window whose anchor's

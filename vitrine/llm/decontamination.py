@@ -7,9 +7,10 @@ therefore looks up, for each shingle of a document, the windows whose rarest shi
 the window gives the only place where the window can start (positional bound), which must leave room for the whole
 window inside the text (length bound). What is left is verified word by word.
 
-Scale: documents are never shuffled; they are read twice (once to count how rare the benchmark's shingles are, once to
-join). The benchmark side is an index of bounded size: its bytes are measured first, and a benchmark larger than
-``block_bytes`` is worked off in several blocks, one after the other in the same pass, each within the bound.
+Scale: documents are never shuffled. The benchmark goes through the driver, which builds its windows; a benchmark larger than
+``block_bytes`` does so in several blocks, dealt by a hash of the item's text, so equal texts share a block whatever their
+number. Each block reads documents once to count how rare its shingles are; the join of all blocks is one more pass, which
+holds every block's index in its tasks at once. Blocks bound what is collected at a time, not that memory.
 
 Edge cases: NULL and word-free texts have no words and hits; an item without words has no window; items with equal
 windows are all reported; repeated rows and repeated ids are answered row by row; a NULL item_id takes part as NULL and

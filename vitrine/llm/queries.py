@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vitrine.llm import decontamination, html_text, near_dups, packing, quality_fm, robust_rules, sharding, suffix_dedup, toxicity, warc
+from vitrine.llm import decontamination, html_text, merkle, near_dups, packing, periodic, quality_fm, robust_rules, sharding, suffix_dedup, toxicity, url_rules, warc
 
 #: The public tokenizer that the packing query counts with.
 TOKENIZER = "byte_bpe_50k.json"
@@ -66,6 +66,28 @@ def op10_consensus_path_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("n_chars", F.length("text").cast("long"))
 
 
+#: What a row of documents is hashed over.
+LEAF_FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+def op11_butterfly_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").withColumn("_tampered", merkle.tampered(LEAF_FIELDS, "n_chars"))
+    return merkle.audit(merkle.manifest(docs, LEAF_FIELDS, carry=("_tampered",)))
+
+
+#: Rules of the URL query.
+URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+
+
+def op12_cascade_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = url_rules.judge(_read(spark, sf_dir, "pages"), url_rules.read_rules(spark, URL_RULES), carry=("page_id",))
+    return found.select("page_id", "host", "path", "rule", "verdict")
+
+
+def op13_convolution_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.digest(periodic.periodic_runs(periodic.repeating(_read(spark, sf_dir, "documents"))))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -79,6 +101,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_recurrent_toxicity,
         op9_prefix_join_decontamination,
         op10_consensus_path_text,
+        op11_butterfly_merkle_manifest,
+        op12_cascade_url_rules,
+        op13_convolution_periodic_runs,
     )
 }
 
@@ -166,4 +191,75 @@ ORACLE: dict[str, str] = {
                coalesce(places.n, 0) > 0 as contaminated
         from doc left join places on places.doc_id = doc.doc_id left join items on items.doc_id = doc.doc_id
     """,
+    # CRC-32 by the table that its polynomial gives, over the decimal digits of the id.
+    "op11_butterfly_merkle_manifest": """
+        with recursive step as (
+            select b, b::ubigint as c, 0 as k from range(256) r(b)
+            union all
+            select b, case when c % 2 = 1 then xor(c // 2, 3988292384::ubigint) else c // 2 end, k + 1 from step where k < 8
+        ), lut as (select list(c order by b) as t from step where k = 8),
+        digits as (
+            select doc_id, doc_id::varchar as s, 0 as k, 4294967295::ubigint as c, t
+            from (select distinct doc_id from documents where doc_id is not null), lut
+            union all
+            select doc_id, s, k + 1, xor(c // 256, t[(xor(c % 256, ascii(s[k + 1])::ubigint) + 1)::bigint]), t from digits where k < length(s)
+        ), crc as (select doc_id, xor(c, 4294967295::ubigint) as h from digits where k = length(s)),
+        field as (
+            select d.doc_id, lang, row_number() over (partition by lang order by d.doc_id nulls first) - 1 as place,
+                   coalesce(strlen(d.doc_id::varchar) || ':' || d.doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                   || coalesce(strlen(lang) || ':' || lang, '-') as a,
+                   n_chars, coalesce(strlen(text) || ':' || text, '-') as b, coalesce(h % 7 = 0, false) as changed
+            from documents d left join crc on crc.doc_id = d.doc_id
+        ), leaf as (
+            select *, sha256(a || coalesce(strlen(n_chars::varchar) || ':' || n_chars, '-') || b) as leaf,
+                   sha256(a || coalesce(strlen((n_chars + changed::int)::varchar) || ':' || (n_chars + changed::int), '-') || b) as met
+            from field
+        ), tree as (
+            select coalesce('=' || lang, '') as grp, 0 as level, place, leaf as digest, count(*) over (partition by lang) as size from leaf
+            union all
+            select grp, level + 1, place // 2, sha256(string_agg(digest, '' order by place)), (any_value(size) + 1) // 2
+            from tree where size > 1 group by grp, level, place // 2
+        ), subroots as (select grp, digest, row_number() over (order by grp) - 1 as place, count(*) over () as size from tree where size = 1),
+        top as (
+            select 0 as level, place, digest, size from subroots
+            union all
+            select level + 1, place // 2, sha256(string_agg(digest, '' order by place)), (any_value(size) + 1) // 2
+            from top where size > 1 group by level, place // 2
+        ), height as (select grp, max(level) as h from tree group by 1),
+        ways as (
+            select coalesce('=' || l.lang, '') as grp, l.place, t.level, t.digest, (l.place >> t.level::int) % 2 = 1 as is_left
+            from leaf l join tree t on t.grp = coalesce('=' || l.lang, '') and t.place = xor(l.place >> t.level::int, 1)
+            union all
+            select s.grp, l.place, h.h + t.level, t.digest, (s.place >> t.level::int) % 2 = 1
+            from leaf l join subroots s on s.grp = coalesce('=' || l.lang, '') join height h on h.grp = s.grp
+            join top t on t.place = xor(s.place >> t.level::int, 1)
+        ), proof as (select grp, place, sha256(string_agg(digest, '' order by level)) as p from ways group by 1, 2),
+        total as (select max(level) as h, arg_max(digest, level) as root from top),
+        fold as (
+            select coalesce('=' || lang, '') as grp, place, 0 as level, met as node from leaf
+            union all
+            select f.grp, f.place, f.level + 1, sha256(case when w.digest is null then f.node when w.is_left then w.digest || f.node else f.node || w.digest end)
+            from fold f join height h on h.grp = f.grp, total
+            left join ways w on w.grp = f.grp and w.place = f.place and w.level = f.level
+            where f.level < h.h + total.h
+        ), folded as (select grp, place, arg_max(node, level) as folded_root from fold group by 1, 2)
+        select doc_id, leaf, s.digest as subroot, root, coalesce(p, sha256('')) as proof_sha256, folded_root, folded_root = root as verified
+        from leaf l join subroots s on s.grp = coalesce('=' || l.lang, '') join folded f on f.grp = s.grp and f.place = l.place
+        left join proof on proof.grp = s.grp and proof.place = l.place, total
+    """,
+    "op12_cascade_url_rules": r"""
+        with split as (
+            select page_id, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host,
+                   coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') as path
+            from pages
+        ), rules (domain, prefix, verdict) as (
+            values ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+        ), best as (
+            select page_id, host, path, domain || prefix as rule, verdict,
+                   row_number() over (partition by page_id, host, path order by length(domain || prefix) desc nulls last) as place
+            from (select distinct * from split) left join rules on (host = domain or ends_with(host, '.' || domain)) and starts_with(path, prefix)
+        )
+        select split.page_id, split.host, split.path, rule, coalesce(verdict, 'allow') as verdict
+        from split join best on split.page_id is not distinct from best.page_id and split.host = best.host and split.path = best.path and place = 1
+    """,
 }

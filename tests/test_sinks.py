@@ -1,6 +1,7 @@
 """Namespaces, tables, views, upserts, and a whole build with its checks."""
 
 import datetime as dt
+import threading
 import uuid
 
 import pytest
@@ -13,6 +14,9 @@ from vitrine.plans import MODELS
 from vitrine.plans.checks import CHECKS, INVARIANTS, check_registry, run_checks, table_failures
 from vitrine.plans.publish import publish, record_health, record_row_counts, stored_health
 from vitrine.plans.pipeline_health import source_freshness
+from vitrine.plans.views import VIEWS
+from vitrine.session import configure
+from vitrine.sinks import tables
 from vitrine.sources import FX_RATES_SCHEMA, HEALTH_SCHEMAS, LANDING, read_fx_rates, read_health, read_landing
 
 SF = "/root/testdata/sf0.001"
@@ -95,8 +99,15 @@ def test_build_check_and_count(spark, prefix):
         stored = spark.table(f"`{placed[name]}`.`{name}`")
         assert stored.columns == df.columns
         assert stored.exceptAll(df).count() == 0 and df.exceptAll(stored).count() == 0
-    # Views are names only; tables of event facts are laid out by day.
-    assert spark.table(f"{prefix}_int__int_purchases_with_fx").count() == wh["int_purchases_with_fx"].count()
+    # Views hold the same rows as the lazy models and are read by other sessions; tables of event facts are laid out by day.
+    other = spark.newSession()
+    configure(other)
+    for name in VIEWS:
+        view = other.table(f"{prefix}_int.{name}")
+        assert view.columns == wh[name].columns
+        assert rows(view) == rows(wh[name])
+    assert {(t.name, t.tableType) for t in other.catalog.listTables(f"{prefix}_int")} == {(name, "VIEW") for name in VIEWS}
+    assert not [t for t in spark.catalog.listTables() if t.isTemporary]
     plan = wh["fct_playtime_sessions"].filter("started_date = date'2024-01-05'")
     assert "PartitionFilters: [isnotnull(started_date" in plan._jdf.queryExecution().executedPlan().toString()
 
@@ -173,6 +184,149 @@ def test_a_failed_rebuild_leaves_the_old_table(spark, prefix):
     assert spark.table(f"{prefix}.kept").filter("day = 'a/b c=d'").count() == 1
 
 
+class Injected(Exception):
+    """A failure put between two steps."""
+
+
+def fail(*_, **__):
+    raise Injected
+
+
+def test_a_rebuild_that_fails_between_two_steps_leaves_whole_rows(spark, prefix, monkeypatch):
+    old, new = spark.range(4).withColumn("day", F.lit("a")), spark.range(7).withColumn("day", F.lit("b"))
+    for parts in ([], ["day"]):
+        name = f"kept{len(parts)}"
+        with monkeypatch.context() as m:  # the first build: no table until it is whole
+            m.setattr(tables, "_create", fail)
+            with pytest.raises(Injected):
+                sinks.write_table(old, prefix, name, parts)
+        assert not spark.catalog.tableExists(f"{prefix}.{name}")
+        sinks.write_table(old, prefix, name, parts)
+        with monkeypatch.context() as m:  # written, not switched
+            m.setattr(tables, "_switch", fail)
+            with pytest.raises(Injected):
+                sinks.write_table(new, prefix, name, parts)
+        assert rows(spark.table(f"{prefix}.{name}")) == rows(old)
+        with monkeypatch.context() as m:  # switched, not cleaned
+            m.setattr(tables, "_clean", fail)
+            with pytest.raises(Injected):
+                sinks.write_table(new, prefix, name, parts)
+        assert rows(spark.table(f"{prefix}.{name}")) == rows(new)
+        assert rows(sinks.write_table(old, prefix, name, parts)) == rows(old)
+        with monkeypatch.context() as m:  # other columns: dropped, not created
+            calls = iter([fail, tables._create])
+            m.setattr(tables, "_create", lambda *a: next(calls)(*a))
+            with pytest.raises(Injected):
+                sinks.write_table(new.withColumn("more", F.lit(1)), prefix, name, parts)
+        assert rows(spark.table(f"{prefix}.{name}")) == rows(old)
+        assert rows(sinks.write_table(new.withColumn("more", F.lit(1)).select("id", "more", "day"), prefix, name, parts)) == rows(new.select("id", F.lit(1), "day"))
+
+
+def test_readers_of_a_rebuild_see_one_whole_version(spark, prefix):
+    for parts in (None, ["day"]):
+        name = "read" if parts else "plain"
+        build = lambda n: spark.range(n * 1000, n * 1000 + 1000).select("id", F.lit(n).alias("n"), (F.col("id") % 3).alias("day"))
+        sinks.write_table(build(0), prefix, name, parts)
+        seen, failures, done = set(), [], threading.Event()
+
+        def read(name=name, seen=seen, failures=failures, done=done):
+            while not done.is_set():
+                try:
+                    got = spark.table(f"{prefix}.{name}").agg(F.count("*"), F.min("n"), F.max("n")).first()
+                    seen.add(tuple(got))
+                except Exception as e:  # noqa: BLE001
+                    failures.append(e)
+
+        reader = threading.Thread(target=read)
+        reader.start()
+        for n in range(1, 6):
+            sinks.write_table(build(n), prefix, name, parts)
+        done.set()
+        reader.join()
+        assert not failures
+        assert seen <= {(1000, n, n) for n in range(6)} and seen
+        assert len(tables.Folder(spark, f"{tables._database_folder(spark, prefix)}/{name}__versions").names()) == 6
+        sinks.write_table(build(6), prefix, name, parts, keep_hours=0)
+        assert len(tables.Folder(spark, f"{tables._database_folder(spark, prefix)}/{name}__versions").names()) == 2
+        assert spark.table(f"{prefix}.{name}").count() == 1000
+        sinks.drop_table(spark, prefix, name)
+        assert not spark.catalog.tableExists(f"{prefix}.{name}")
+        assert not tables.Folder(spark, f"{tables._database_folder(spark, prefix)}/{name}__versions").names()
+
+
+def test_an_empty_rebuild_and_other_kinds_of_tables(spark, prefix):
+    empty = spark.range(0).withColumn("day", F.lit("a"))
+    for parts in (None, ["day"]):
+        assert sinks.write_table(empty, prefix, f"e{bool(parts)}", parts).columns == ["id", "day"]
+        assert sinks.write_table(empty.union(spark.createDataFrame([(1, "x")])), prefix, f"e{bool(parts)}", parts).count() == 1
+        assert sinks.write_table(empty, prefix, f"e{bool(parts)}", parts).count() == 0
+    # a table that others have made, managed and with partitions in the catalog, is replaced as a whole
+    spark.range(3).withColumn("day", F.lit("a")).write.partitionBy("day").saveAsTable(f"{prefix}.managed")
+    assert sinks.write_table(spark.table(f"{prefix}.managed").where("id > 0"), prefix, "managed", ["day"]).count() == 2
+
+
+def test_a_merge_that_fails_changes_nothing_or_is_carried_out(spark, prefix, monkeypatch):
+    schema = "k string, d date, n long"
+    d1, d2, d3 = (day(f"2024-01-0{i}") for i in (1, 2, 3))
+    first = [("a", d1, 1), ("b", d1, 1), ("a", d2, 1), ("c", None, 1)]
+    more = [("a", d1, 2), ("a", d2, 2), ("z", d3, 2), ("c", None, 2)]
+    after = sorted([("a", "2024-01-01", 2), ("b", "2024-01-01", 1), ("a", "2024-01-02", 2), ("z", "2024-01-03", 2)])
+    merge = lambda data: sinks.merge_table(spark, prefix, "m", spark.createDataFrame(data, schema), ["k", "d"], "d")
+    with monkeypatch.context() as m:
+        m.setattr(tables, "_apply", fail)
+        with pytest.raises(Injected):
+            merge(first)
+    assert spark.table(f"{prefix}.m").count() == 0
+    merge(first)  # carries the record out, then merges the same rows again: the NULL day equals no day and comes twice
+    before = rows(spark.table(f"{prefix}.m").where("d is not null"), "k", "d", "n")
+    assert before == sorted([("a", "2024-01-01", 1), ("b", "2024-01-01", 1), ("a", "2024-01-02", 1)])
+    with monkeypatch.context() as m:  # merged files are written, the record is not
+        m.setattr(tables.Folder, "write", fail)
+        with pytest.raises(Injected):
+            merge(more)
+    assert rows(spark.table(f"{prefix}.m").where("d is not null"), "k", "d", "n") == before
+    assert sinks.recover_table(spark, prefix, "m", "d") == 0
+    with monkeypatch.context() as m:  # the record is written, one partition is switched
+        sql, calls = spark.sql, iter(range(100))
+        broken = lambda q, *a, **k: fail() if "SET LOCATION" in q and next(calls) == 1 else sql(q, *a, **k)
+        m.setattr(spark, "sql", broken)
+        with pytest.raises(Injected):
+            merge(more)
+    half = rows(spark.table(f"{prefix}.m").where("d is not null"), "k", "d", "n")
+    assert set(half) <= set(before) | set(after)
+    assert sinks.recover_table(spark, prefix, "m", "d") == 1
+    assert rows(spark.table(f"{prefix}.m").where("d is not null"), "k", "d", "n") == after
+    assert rows(merge(more).where("d is not null"), "k", "d", "n") == after
+    # files that were replaced go, those in use stay
+    merges = tables.Folder(spark, f"{tables._database_folder(spark, prefix)}/m__merges")
+    sinks.recover_table(spark, prefix, "m", "d", keep_hours=0)
+    assert len(merges.names()) == 1
+    assert rows(spark.table(f"{prefix}.m").where("d is not null"), "k", "d", "n") == after
+
+
+def test_row_counts_come_from_footers(spark, prefix):
+    sinks.write_table(spark.range(1000).repartition(3), prefix, "plain")
+    sinks.write_table(spark.range(900).select("id", (F.col("id") % 7).alias("day")), prefix, "parted", ["day"])
+    sinks.write_table(spark.range(0), prefix, "empty")
+    sinks.append_table(spark.range(5), prefix, "appended")
+    sinks.append_table(spark.range(6), prefix, "appended")
+    counts = spark.createDataFrame([("a", day("2024-01-01"), 1), ("b", day("2024-01-02"), 1)], "k string, d date, n long")
+    sinks.merge_table(spark, prefix, "merged", counts, ["k", "d"], "d")
+    sinks.merge_table(spark, prefix, "merged", counts.where("k = 'a'").unionByName(counts.withColumn("k", F.lit("c"))), ["k", "d"], "d")
+    spark.range(4).write.format("json").saveAsTable(f"{prefix}.text")
+    for name, want in {"plain": 1000, "parted": 900, "empty": 0, "appended": 11, "merged": 4, "text": 4}.items():
+        df = sinks.footer_count(spark, prefix, name)
+        assert sinks.stored_row_count(spark, prefix, name) == want == spark.table(f"{prefix}.{name}").count()
+        assert (df is None) == (name == "text")
+        if df is not None:
+            with tables._conf(spark, tables.FOOTERS):
+                plan = df._jdf.queryExecution().toString()
+            assert "PushedAggregation: [COUNT(*)]" in plan and "ReadSchema: struct<>" not in plan
+    sinks.write_table(spark.table(f"{prefix}.plain").where("id < 10"), prefix, "plain")
+    assert sinks.stored_row_count(spark, prefix, "plain") == 10
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") != ""
+
+
 def test_merge_refuses_two_rows_of_one_key_and_takes_none(spark, prefix):
     schema = "k string, d date, n long"
     one = spark.createDataFrame([("a", day("2024-01-01"), 1)], schema)

@@ -6,11 +6,11 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 
-from vitrine.operators import row_counts
 from vitrine.plans.checks import check_registry, source_registry
 from vitrine.plans.pipeline_health import source_freshness
+from vitrine.plans.views import view_query
 from vitrine.plans.warehouse import LAYER_OF, MODELS, Warehouse
-from vitrine.sinks import append_table, layer_namespace, merge_table, namespace_tables, write_table, write_view
+from vitrine.sinks import append_table, layer_namespace, merge_table, namespace_tables, stored_row_count, write_table, write_view
 
 # Event-scale facts are laid out by day, so that readers of a period skip the other files.
 PARTITIONED = {
@@ -20,6 +20,8 @@ PARTITIONED = {
 }
 
 HEALTH_NAMESPACE = "elementary"
+#: Where exchange rates are stored on a deployed target that names no base namespace.
+RATES_NAMESPACE = "seeds"
 
 
 def publish(
@@ -33,24 +35,38 @@ def publish(
 ) -> dict[str, str]:
     """Build models in dependency order; returns {model: namespace}.
 
-    Layers in ``views`` stay unmaterialised. Staging is written by default although it could be a view
+    Layers in ``views`` are not materialised: a model with a SQL text becomes a stored view over the stored
+    tables it reads, the exchange rates among them; others, and views over inputs that are not stored, are
+    built into the models that read them and leave nothing in the catalog. Staging is written by default although it could be a view
     (``views=("stg", "int")``): most staging tables feed several marts, and the newest-row reduction of a
     landing table, which holds every version ever emitted, should run once per build. Written models
     are read back by the models after them.
     """
-    placed = {}
+    placed: dict[str, str] = {}
+    stored: dict[str, str] = {}
+
+    def place(table: str) -> str | None:
+        if table == "fx_rates" and table not in stored:
+            home = layer_namespace(None, target, prefix) or RATES_NAMESPACE
+            write_table(wh.fx_rates, home, table)
+            stored[table] = home
+        return f"`{stored[table]}`.`{table}`" if table in stored else None
+
     for name in MODELS if models is None else models:
         layer = LAYER_OF[name]
         namespace = layer_namespace(layer, target, prefix)
         df = wh[name]
         if layer in views:
-            write_view(df, namespace, name)
+            query = view_query(name, place)
+            if query is not None:
+                write_view(wh.spark, namespace, name, query)
         else:
             day = PARTITIONED.get(name) if partitioned else None
             if day:
                 # One or a few files per day; AQE splits a heavy day and merges light ones.
                 df = df.hint("rebalance", day)
             wh.settle(name, write_table(df, namespace, name, [day] if day else None))
+            stored[name] = namespace
         placed[name] = namespace
     return placed
 
@@ -61,13 +77,11 @@ def record_row_counts(wh: Warehouse, namespaces: list[str], target: str, prefix:
     Only the namespace literally named after the health tables is left out, so prefixed copies of it
     are counted, and so is the history table itself.
     """
-    found = namespace_tables(wh.spark, namespaces, excluded=(HEALTH_NAMESPACE,))
     today: dt.date = wh.as_of.date()
-    none = "schema_name string, table_name string, snapshot_date date, row_count long"
-    counted = wh.spark.createDataFrame([], none)
-    for namespace in sorted({ns for ns, _ in found}):
-        part = row_counts({t: df for (ns, t), df in found.items() if ns == namespace}, namespace, today)
-        counted = counted.unionByName(part)
+    names = sorted(namespace_tables(wh.spark, namespaces, excluded=(HEALTH_NAMESPACE,)))
+    # A row per table; the counts come from file footers, not from scans.
+    counts = [(ns, t, today, stored_row_count(wh.spark, ns, t)) for ns, t in names]
+    counted = wh.spark.createDataFrame(counts, "schema_name string, table_name string, snapshot_date date, row_count long")
     home = layer_namespace("marts_core", target, prefix)
     keys = ["schema_name", "table_name", "snapshot_date"]
     wh.settle("fct_row_counts", merge_table(wh.spark, home, "fct_row_counts", counted, keys, partition="snapshot_date"))

@@ -1,3 +1,25 @@
-from vitrine.sinks.tables import append_table, layer_namespace, merge_table, namespace_tables, write_table, write_view
+from vitrine.sinks.tables import (
+    append_table,
+    drop_table,
+    footer_count,
+    layer_namespace,
+    merge_table,
+    namespace_tables,
+    recover_table,
+    stored_row_count,
+    write_table,
+    write_view,
+)
 
-__all__ = ["append_table", "layer_namespace", "merge_table", "namespace_tables", "write_table", "write_view"]
+__all__ = [
+    "append_table",
+    "drop_table",
+    "footer_count",
+    "layer_namespace",
+    "merge_table",
+    "namespace_tables",
+    "recover_table",
+    "stored_row_count",
+    "write_table",
+    "write_view",
+]

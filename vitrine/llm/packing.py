@@ -11,13 +11,14 @@ at most ``capacity`` entries. Pieces are numbered within their length by a range
 start), so a length that holds a third of all pieces is spread over many tasks. What the driver collects is a row for
 each pair of partition and length; as partitions are ranges, that is at most partitions + capacity rows.
 
-Edge cases: a NULL or empty text is the separator alone; repeated rows and ids are packed row by row; an empty table
-packs nothing; other columns are ignored.
+Edge cases: a NULL or empty text is the separator alone; repeated rows and ids are packed row by row, rows with a NULL id
+like others; ids of any type are given back as they are; an empty table packs nothing; other columns are ignored.
 """
 
 from __future__ import annotations
 
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from vitrine.llm.storage import settled
 from vitrine.llm.text import BYTE_VALUES, PLACE_VALUES, Texts, mix, slices, texts_of
 
-PIECES = "doc long, start long, length long, ids_crc32 long, doc_tokens long"
+PIECES = "start long, length long, ids_crc32 long, doc_tokens long"
 #: Units of text whose ids a worker remembers, at most.
 REMEMBERED = 400_000
 
@@ -46,8 +47,8 @@ class Units:
     """Token ids of whole texts, from the ids of units that repeat.
 
     A unit begins at a blank before a visible ASCII character; at a blank between a visible ASCII character and a
-    multi-byte one; at a mark after an ASCII letter; and behind a single line end between visible ASCII characters. The
-    byte-level pattern never puts characters on both sides of such a place into one token, nor does it look across, so that
+    multi-byte one; at a mark after an ASCII letter; and behind a single line end between visible ASCII characters. Spellings
+    of added tokens are taken out first; what stands between them is encoded like whole texts. The byte-level pattern never puts characters on both sides of such a place into one token, nor does it look across, so that
     the ids of a text are those of its units, one after the other.
     """
 
@@ -56,7 +57,10 @@ class Units:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # text that spells a special token is ordinary text
+        # An added token is one id wherever a text spells it, and a text's end to what stands before it.
+        added = {t.content.encode(): i for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        self.added = added
+        self.spelled = re.compile(b"|".join(re.escape(t) for t in sorted(added, key=len, reverse=True))) if added else None
         # A byte-level token has a character for each byte that it stands for.
         self.bytes_of = np.array([len(self.tokenizer.id_to_token(i) or "") for i in range(self.tokenizer.get_vocab_size())], np.int64)
         self.forget()
@@ -111,12 +115,34 @@ class Units:
 
     def encode(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
         """All ids of all texts one after the other, and where each text's ids end."""
+        if self.spelled is None or not self.spelled.search(texts.buf):
+            return self.encode_plain(texts)
+        parts: list[bytes] = []
+        after: list[int] = []  # the added token behind a part, or -1 at the end of a text
+        for i in range(len(texts)):
+            whole, low = texts.bytes_of(i), 0
+            for found in self.spelled.finditer(whole):
+                parts.append(whole[low : found.start()])
+                after.append(self.added[found.group()])
+                low = found.end()
+            parts.append(whole[low:])
+            after.append(-1)
+        ends = np.cumsum([len(x) for x in parts])
+        ids, at = self.encode_plain(Texts(np.frombuffer(b"".join(parts), np.uint8), np.append(0, ends[:-1]), ends))
+        token = np.array(after)
+        between = token >= 0
+        ids = np.insert(ids, at[between], token[between].astype(np.uint32))
+        return ids, (at + np.cumsum(between))[~between]
+
+    def encode_plain(self, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts that spell no added token."""
         buf = texts.buf
         if not len(buf):
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
         visible = (buf > 0x20) & (buf < 0x7F)
         cut = np.zeros(len(buf), bool)
         cut[1:-1] = (buf[1:-1] == 0x20) & (visible[2:] | (visible[:-2] & (buf[2:] >= 0x80)))
+        cut[texts.end[texts.start < texts.end] - 1] = False  # what follows is another text
         cut[1:] |= _MARK[buf[1:]] & _LETTER[buf[:-1]]
         cut[2:] |= visible[2:] & (buf[1:-1] == 0x0A) & visible[:-2]
         cut[texts.start[texts.start < texts.end]] = True
@@ -254,8 +280,9 @@ def place_pieces(offsets: dict[tuple[int, int], int], plan: list[tuple[dict[int,
 
 def pack(documents: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str = "text", capacity: int = 1024, separator: int = 0) -> DataFrame:
     """A row for each piece: document, start, length, ids_crc32, doc_tokens, sequence_id and offset."""
-    rows = documents.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"))
-    pieces = settled(rows.mapInArrow(cut_pieces(tokenizer, capacity, separator), PIECES))
+    rows = documents.select(F.col(doc_id).alias("doc"), F.col(text).alias("text"))
+    schema = f"doc {rows.schema['doc'].dataType.simpleString()}, {PIECES}"
+    pieces = settled(rows.mapInArrow(cut_pieces(tokenizer, capacity, separator), schema))
     spark = documents.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     numbered = settled(
@@ -266,5 +293,5 @@ def pack(documents: DataFrame, tokenizer: str, doc_id: str = "doc_id", text: str
     for part, length, n in sorted(map(tuple, numbered.groupBy("part", "length").agg(F.count("*")).collect())):
         offsets[part, length] = histogram.get(length, 0)
         histogram[length] = histogram.get(length, 0) + n
-    placed = numbered.mapInArrow(place_pieces(offsets, plan_windows(histogram, capacity), histogram.get(capacity, 0), capacity), f"{PIECES}, sequence_id long, offset long")
+    placed = numbered.mapInArrow(place_pieces(offsets, plan_windows(histogram, capacity), histogram.get(capacity, 0), capacity), f"{schema}, sequence_id long, offset long")
     return placed.withColumnRenamed("doc", doc_id)

@@ -296,3 +296,20 @@ def test_queries_match_duckdb(spark, monkeypatch, name):
     sf_dir = "/root/testdata/sf0.001"
     _, problem = compare.differences(spark, compare.connect(sf_dir), sf_dir, name)
     assert problem is None, problem
+
+
+@pytest.mark.parametrize("scores", [quality_fm.quality_scores, toxicity.toxicity_scores])
+def test_ids_of_any_kind_are_learned_from_alike(spark, scores):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels"))
+    as_type = lambda df, kind: df.withColumn("doc_id", F.col("doc_id").cast(kind))
+    read = lambda df: sorted((int(r.doc_id), r.held_out, r.score) for r in df.collect())
+    want = read(scores(docs, labels))
+    for mine, theirs in (("int", "long"), ("int", "int"), ("string", "string")):
+        got = scores(as_type(docs, mine), as_type(labels, theirs))
+        assert got.schema["doc_id"].dataType.simpleString() == mine
+        found = read(got)
+        assert [x[:2] for x in found] == [x[:2] for x in want]
+        # texts are learned in the order of their ids, which is another one for ids that are text
+        assert np.allclose([x[2] for x in found], [x[2] for x in want], atol=0.5 if mine == "string" else 1e-3)
+    with pytest.raises(TypeError, match="doc_id"):
+        scores(as_type(docs, "string"), labels)

@@ -124,7 +124,8 @@ def quality_scores(
                 ["doc_id", "label", "columns", "values"],
             )
 
-    learned = learning_sample(docs, labels, label, parts, held_out, sample).mapInArrow(vectors, "doc_id long, label int, columns binary, values binary")
+    chosen = learning_sample(docs, labels, label, parts, held_out, sample)
+    learned = chosen.mapInArrow(vectors, f"doc_id {chosen.schema['doc_id'].dataType.simpleString()}, label int, columns binary, values binary")
     rows = sorted((r[0], bytes(r[2]), bytes(r[3]), r[1]) for r in learned.collect())  # of the bounded sample
     model = train([(np.frombuffer(c, np.int32), np.frombuffer(v, np.float32), y) for _, c, v, y in rows], width)
 

@@ -255,6 +255,7 @@ def train(chosen: DataFrame, epochs: int = 6, step: float = 0.01, seed: int = 11
     rng = np.random.default_rng(seed)
     moment = {n: (np.zeros_like(x), np.zeros_like(x)) for n, x in net.p.items()}
     turn = 0
+    kind = chosen.schema["doc_id"].dataType.simpleString()
     for epoch in range(epochs):
 
         def worst(batches: Iterator[pa.RecordBatch], odds: bool = epoch == 0) -> Iterator[pa.RecordBatch]:
@@ -267,7 +268,7 @@ def train(chosen: DataFrame, epochs: int = 6, step: float = 0.01, seed: int = 11
                     ["doc_id", "label", "row", "size", "grams", "weight"],
                 )
 
-        got = chosen.mapInArrow(worst, "doc_id long, label int, row binary, size binary, grams binary, weight binary").collect()  # a window of each text
+        got = chosen.mapInArrow(worst, f"doc_id {kind}, label int, row binary, size binary, grams binary, weight binary").collect()  # a window of each text
         rows = sorted((r[0], *map(bytes, r[2:]), r[1]) for r in got)
         labels = np.array([r[-1] for r in rows], np.float32)
         v = unpacked([r[1:5] for r in rows])

@@ -14,7 +14,7 @@ holds every block's index in its tasks at once. Blocks bound what is collected a
 
 Edge cases: NULL and word-free texts have no words and hits; an item without words has no window; items with equal
 windows are all reported; repeated rows and repeated ids are answered row by row; a NULL item_id takes part as NULL and
-is left out of ``item_ids``; an empty benchmark gives no hit. Other columns of the inputs are ignored.
+is left out of ``item_ids``; item ids of any type are given back as they are; an empty benchmark gives no hit. Other columns of the inputs are ignored.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ class Index:
 
     length: np.ndarray
     words: np.ndarray  # window x size, word hashes, zero beyond the window's length
-    items: list[list[int]]
+    items: list[list[str]]
     tokens: np.ndarray
     size_of_token: np.ndarray
     window_tokens: list[np.ndarray]  # per window, its tokens' places in ``tokens``, by offset
@@ -185,7 +185,7 @@ def scan(index: Index, carry: list[str]):
                     batch.column("text"),
                     pa.array(words.last - words.first, pa.int64()),
                     pa.array([[*old, *new] for old, new in zip(batch.column("spans").to_pylist(), spans, strict=True)], kind),
-                    pa.array([sorted({*old, *new}) for old, new in zip(batch.column("items").to_pylist(), items, strict=True)], pa.list_(pa.int64())),
+                    pa.array([sorted({*old, *new}) for old, new in zip(batch.column("items").to_pylist(), items, strict=True)], pa.list_(pa.string())),
                     *(batch.column(c) for c in carry),
                 ],
                 ["doc", "text", "n_words", "spans", "items", *carry],
@@ -210,7 +210,8 @@ def contamination(
     The columns ``carry`` of documents come along.
     """
     names = [f"_in_{i}" for i in range(len(carry))]
-    items = benchmark.select(F.col(item_id).cast("long").alias("item"), F.col(item_text).alias("text"))
+    items = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).alias("text"))
+    kind = benchmark.schema[item_id].dataType
     total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-total // block_bytes))
     rows = documents.select(
@@ -218,7 +219,7 @@ def contamination(
         F.col(text).alias("text"),
         F.lit(0).cast("long").alias("n_words"),
         F.array().cast("array<struct<start:long,end:long>>").alias("spans"),
-        F.array().cast("array<long>").alias("items"),
+        F.array().cast("array<string>").alias("items"),
         *(F.col(c).alias(n) for c, n in zip(carry, names, strict=True)),
     )
     schema = rows.schema
@@ -236,7 +237,7 @@ def contamination(
             ).otherwise(F.concat(done, F.array(span)))
 
         spans = F.aggregate(spans, F.array().cast("array<struct<start:long,end:long>>"), joined)
-    return rows.select(F.col("doc").alias(doc_id), "n_words", spans.alias("spans"), F.col("items").alias("item_ids"), *(F.col(n).alias(c) for c, n in zip(carry, names, strict=True)))
+    return rows.select(F.col("doc").alias(doc_id), "n_words", spans.alias("spans"), F.array_sort(F.transform("items", lambda i: i.cast(kind))).alias("item_ids"), *(F.col(n).alias(c) for c, n in zip(carry, names, strict=True)))
 
 
 def digest(found: DataFrame, doc_id: str = "doc_id") -> DataFrame:

@@ -219,6 +219,35 @@ def _(read):
     return op.trailing_distinct(events, date="day", member="user_id", days=14)
 
 
+@on_tables(
+    "newest_by_batches_of_events",
+    "select user_id, event_id, event_type, ts from events "
+    "qualify row_number() over (partition by user_id order by event_id desc) = 1",
+)
+def _(read):
+    """All events in three batches that hold earlier and later ones alike."""
+    events = read("events").select("user_id", "event_id", "event_type", "ts")
+    state = op.latest_by(events.filter("event_id % 3 = 1"), ["user_id"], "event_id")
+    for batch in (0, 2):
+        state = op.newest_of(state, events.filter(f"event_id % 3 = {batch}"), ["user_id"], "event_id")
+    return state
+
+
+@on_tables(
+    "trailing_users_by_masks",
+    """select d.day, cast(count(distinct e.user_id) filter (e.ts::date = d.day) as bigint) as daily,
+  cast(count(distinct e.user_id) as bigint) as trailing
+from (select distinct ts::date as day from events) d join events e on e.ts::date between d.day - 13 and d.day
+where d.day > (select max(ts::date) from events) - 49 group by d.day""",
+)
+def _(read):
+    """The days that masks of 62 days tell: the last 49."""
+    events = read("events").select(F.to_date("ts").alias("day"), "user_id")
+    as_of = events.agg(F.max("day")).first()[0]
+    masks = op.activity_masks(events, date="day", member="user_id", as_of=as_of)
+    return op.trailing_of_masks(masks, as_of=as_of, date="day", days=14, back=48)
+
+
 @on_tables(
     "conversion_click_to_purchase",
     """select user_id, cast(count(*) as bigint) as start_count, cast(count(got) as bigint) as converted_count,
@@ -325,9 +354,7 @@ left join fx_rates r on r.date = l.l_shipdate::date and r.currency = l.currency"
 )
 
 
-@on_tables(
-    "scd2_replay_order_totals",
-    """with c as (select o_custkey as k, o_orderkey as id, o_orderdate as ts, o_orderpriority as tag,
+_REPLAY_SQL = """with c as (select o_custkey as k, o_orderkey as id, o_orderdate as ts, o_orderpriority as tag,
     case when o_orderkey % 5 = 0 then null else round(o_totalprice) end as old_v, round(o_totalprice) + 1 as new_v
   from orders),
 f as (select * from c qualify row_number() over (partition by k order by ts, id) = 1),
@@ -341,9 +368,11 @@ select c.k, c.tag, c.new_v, case when f.old_v is null and f.ts = c.ts then e.bor
 from (select *, lead(ts) over (partition by k order by ts, id) as next_at from c) c
 join f on f.k = c.k join e on e.k = c.k
 union all
-select k, 'none', c_acctbal, born, null, true from e where k not in (select k from c)""",
-)
-def _(read):
+select k, 'none', c_acctbal, born, null, true from e where k not in (select k from c)"""
+_REPLAY = dict(keys=["k"], entity="k", ts="ts", tie_break="id", old="old_v", new="new_v", value="v", origin="born", attrs=["tag"])
+
+
+def _order_totals(read) -> tuple[DataFrame, DataFrame, DataFrame]:
     changes = read("orders").selectExpr(
         "o_custkey as k",
         "o_orderkey as id",
@@ -355,20 +384,21 @@ def _(read):
     born = "timestamp'1994-01-01' + make_dt_interval(int(c_custkey % 365)) as born"
     entities = read("customer").selectExpr("c_custkey as k", born)
     current = read("customer").selectExpr("c_custkey as k", "'none' as tag", "c_acctbal as v")
-    return op.scd2_replay(
-        changes,
-        entities,
-        current,
-        entity="k",
-        keys=["k"],
-        ts="ts",
-        tie_break="id",
-        old="old_v",
-        new="new_v",
-        value="v",
-        origin="born",
-        attrs=["tag"],
-    )
+    return changes, entities, current
+
+
+@on_tables("scd2_replay_order_totals", _REPLAY_SQL)
+def _(read):
+    return op.scd2_replay(*_order_totals(read), **_REPLAY)
+
+
+@on_tables("scd2_splice_order_totals", _REPLAY_SQL)
+def _(read):
+    """All orders in two builds: every tenth comes late, and so do the last years'."""
+    changes, entities, current = _order_totals(read)
+    late = (F.col("id") % 10 == 0) | (F.year("ts") >= 1997)
+    stored = op.scd2_replay(changes.filter(~late), entities, current, **_REPLAY)
+    return op.scd2_splice(stored, changes, changes.filter(late), entities, current, **_REPLAY)
 
 
 @on_tables(
@@ -532,18 +562,24 @@ def _(read):
     return op.date_spine(days, "day")
 
 
-@on_tables(
-    "diff_of_order_statuses",
-    """select * from (select coalesce(a.k, b.k) as o_custkey, coalesce(a.n, 0) as expected_n, coalesce(b.n, 0) as actual_n
+_STATUS_DIFF = """select * from (select coalesce(a.k, b.k) as o_custkey, coalesce(a.n, 0) as expected_n, coalesce(b.n, 0) as actual_n
   from (select o_custkey as k, count(*) as n from orders where o_orderstatus = 'F' group by all) a
   full join (select o_custkey as k, count(*) as n from orders where o_orderstatus = 'O' group by all) b on a.k = b.k)
-where expected_n <> actual_n""",
-)
+where expected_n <> actual_n"""
+
+
+def _orders_per_customer(read) -> list[DataFrame]:
+    return [op.daily_count(read("orders").filter(F.col("o_orderstatus") == s), ["o_custkey"], "n") for s in ("F", "O")]
+
+
+@on_tables("diff_of_order_statuses", _STATUS_DIFF)
+def _(read):
+    return op.diff_by_key(*_orders_per_customer(read), keys=["o_custkey"], measures=["n"])
+
+
+@on_tables("checksum_diff_of_order_statuses", _STATUS_DIFF)
 def _(read):
-    per_customer = [
-        op.daily_count(read("orders").filter(F.col("o_orderstatus") == s), ["o_custkey"], "n") for s in ("F", "O")
-    ]
-    return op.diff_by_key(*per_customer, keys=["o_custkey"], measures=["n"])
+    return op.diff_by_checksum(*_orders_per_customer(read), keys=["o_custkey"], measures=["n"])
 
 
 @on_tables(

@@ -17,6 +17,7 @@ from vitrine.operators import (
     lookup,
     previous_end,
     stage_order_violations,
+    value_counts,
 )
 from vitrine.operators.money import cents, exact
 from vitrine.plans.core import CORE
@@ -139,49 +140,49 @@ CHECKS: dict[str, list[Check]] = {
 def failures(table: str, df: DataFrame, checks: list[Check], parent: Callable[[str], DataFrame]) -> DataFrame:
     """(check_name, failures) of one table.
 
-    The checked columns are unpivoted into (column, value) and counted once. These counts, a row for each column
-    and value at most, answer the NULL, uniqueness, accepted-value and relationship checks of all columns; only checks
-    of column combinations take a pass of their own. Values are compared as text, each column's for itself.
+    NULLs are counted in one aggregate. The values of all columns that must be unique, have a parent or be
+    among given ones are counted together, as fingerprints of their text, in one more pass; of the last kind only values
+    that are none of the given ones. Only checks of column combinations take passes of their own.
     """
     zero = F.lit(0).cast("long")
-    single = [c for c in checks if c.kind != "unique_combination"]
-    names = list(dict.fromkeys(c.columns[0] for c in single))
-    read = {c.columns[0] for c in single if c.kind != "not_null"}
-    # Of a column that only has to be filled, one value stands for all.
-    cell = {c: F.col(c).cast("string") if c in read else F.when(F.col(c).isNotNull(), F.lit("")) for c in names}
-    pairs = [F.struct(F.lit(c).alias("_c"), v.alias("_v")) for c, v in cell.items()]
     parts = []
-    if names:
-        cells = df.select(F.explode(F.array(*pairs)).alias("_p")).select("_p.*")
-        counts = cells.groupBy("_c", "_v").agg(F.count(F.lit(1)).alias("_n"))
-        value, answers = F.col("_v"), []
-        for c in (c for c in single if c.kind != "relationships"):
-            own = F.col("_c") == c.columns[0]
-            if c.kind == "not_null":
-                answer = F.coalesce(F.sum(F.when(own & value.isNull(), F.col("_n"))), zero)
-            elif c.kind == "unique":
-                answer = F.count_if(own & value.isNotNull() & (F.col("_n") > 1))
-            else:
-                answer = F.count_if(own & ~value.isin([str(v) for v in c.values]))
-            answers.append((c, answer))
+    filled = [c for c in checks if c.kind == "not_null"]
+    if filled:
+        row = df.agg(*[F.count_if(F.col(c.columns[0]).isNull()).alias(f"n{i}") for i, c in enumerate(filled)])
+        parts.append(_one_row_each(row, [(c.name(table), f"n{i}") for i, c in enumerate(filled)]))
+    cells, number = {}, {}
+    for c in checks:
+        text = F.col(c.columns[0]).cast("string")
+        if c.kind in ("unique", "relationships"):
+            number[c] = number.setdefault(("value", c.columns[0]), len(cells))
+            cells[number[c]] = text
+        elif c.kind == "accepted_values":
+            number[c] = len(cells)
+            cells[number[c]] = F.when(~text.isin([str(v) for v in c.values]), text)
+    if cells:
+        counts = value_counts(df, cells)
+        answers = [c for c in checks if c.kind in ("unique", "accepted_values")]
         if answers:
-            row = counts.agg(*[answer.alias(f"n{i}") for i, (_, answer) in enumerate(answers)])
-            named = [
-                F.struct(F.lit(c.name(table)).alias("check_name"), F.col(f"n{i}").alias("failures"))
-                for i, (c, _) in enumerate(answers)
-            ]
-            parts.append(row.select(F.explode(F.array(*named)).alias("_a")).select("_a.*"))
-        for c in (c for c in single if c.kind == "relationships"):
-            known = parent(c.parent[0]).select(F.col(c.parent[1]).cast("string").alias("_v")).distinct()
-            own = counts.filter((F.col("_c") == c.columns[0]) & value.isNotNull())
-            orphans = own.join(known, "_v", "left_anti").agg(F.coalesce(F.sum("_n"), zero).alias("failures"))
-            parts.append(orphans.select(F.lit(c.name(table)).alias("check_name"), "failures"))
+            wrong = {c: (F.col("c") == number[c]) & (F.col("n") > (1 if c.kind == "unique" else 0)) for c in answers}
+            row = counts.agg(*[F.count_if(wrong[c]).alias(f"n{i}") for i, c in enumerate(answers)])
+            parts.append(_one_row_each(row, [(c.name(table), f"n{i}") for i, c in enumerate(answers)]))
+        for c in (c for c in checks if c.kind == "relationships"):
+            known = value_counts(parent(c.parent[0]), {number[c]: F.col(c.parent[1]).cast("string")}).select("c", "p", "q")
+            orphans = counts.filter(F.col("c") == number[c]).join(known, ["c", "p", "q"], "left_anti")
+            row = orphans.agg(F.coalesce(F.sum("n"), zero).alias("failures"))
+            parts.append(row.select(F.lit(c.name(table)).alias("check_name"), "failures"))
     for c in (c for c in checks if c.kind == "unique_combination"):
         repeated = check_unique_combination(df, list(c.columns)).agg(F.count(F.lit(1)).alias("failures"))
         parts.append(repeated.select(F.lit(c.name(table)).alias("check_name"), "failures"))
     return reduce(DataFrame.unionByName, parts)
 
 
+def _one_row_each(row: DataFrame, answers: list[tuple[str, str]]) -> DataFrame:
+    """The columns of a single row as rows of their own."""
+    named = [F.struct(F.lit(name).alias("check_name"), F.col(column).alias("failures")) for name, column in answers]
+    return row.select(F.explode(F.array(*named)).alias("_a")).select("_a.*")
+
+
 def table_failures(wh: Warehouse, table: str, df: DataFrame | None = None) -> DataFrame:
     """Failures of the declared checks of ``table``, as a lazy plan."""
     checks = CHECKS[table]

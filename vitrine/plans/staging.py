@@ -31,15 +31,15 @@ KEY_NAMES = {
 RENAMED = {"reviews": {"recommended": "is_recommended"}}
 
 
-def stage(landed: DataFrame, name: str) -> DataFrame:
-    """Staging of one landing table.
+def stage(landed: DataFrame, name: str, reduced: bool = False) -> DataFrame:
+    """Staging of one landing table, of all its versions or, ``reduced``, of the newest of each key.
 
     The newest version wins before deletions are looked at, so a newest tombstone is kept as deleted.
     Columns no consumer asks for are pruned below the shuffle by the optimiser.
     """
     table = LANDING[name]
     renamed = {table.key: KEY_NAMES[name], **RENAMED.get(name, {})}
-    newest = latest_by(landed, [table.key], "record_metadata.offset")
+    newest = landed if reduced else latest_by(landed, [table.key], "record_metadata.offset")
 
     def column(c: str):
         value = F.col(c)
@@ -58,6 +58,8 @@ def stage(landed: DataFrame, name: str) -> DataFrame:
 def _register(name: str) -> None:
     @model("stg", f"stg_{name}")
     def staged(wh: Warehouse) -> DataFrame:
+        if wh.newest is not None:
+            return stage(wh.newest(name), name, reduced=True)
         return stage(wh.landing(name), name)
 
 

@@ -39,6 +39,8 @@ class Warehouse:
     fx: Callable[[], DataFrame]
     as_of: dt.datetime
     health: Callable[[str], DataFrame] | None = None
+    # Newest versions of a landing table where they are kept from build to build (``sinks.update_newest``).
+    newest: Callable[[str], DataFrame] | None = None
     # First day and the day after the last, or a function giving them as a one-row DataFrame.
     calendar: tuple[dt.date, dt.date] | Callable[[], DataFrame] = (dt.date(2023, 1, 1), dt.date(2027, 1, 1))
     written: dict[str, DataFrame] = field(default_factory=dict)

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from collections.abc import Callable
 from contextlib import contextmanager
 from urllib.parse import unquote
 
@@ -264,8 +265,9 @@ def merge_table(
     keys: list[str],
     partition: str,
     keep_hours: float = KEEP_HOURS,
+    combine: Callable[[DataFrame, DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Upsert ``incoming`` into ``namespace.name`` on ``keys``; ``partition`` is one of the keys.
+    """Upsert ``incoming`` into ``namespace.name`` on ``keys``; ``partition`` is one of the keys, or follows from them.
 
     Parquet has no MERGE. The partitions that ``incoming`` touches are read, rows with new versions are replaced, and the
     result is written in two phases:
@@ -280,7 +282,8 @@ def merge_table(
     some of them merged already. Merged files that were replaced are kept for ``keep_hours``.
 
     Two incoming rows of one key are refused, as no order says which of them should stay. Without incoming rows nothing
-    changes, but the table is made if need be.
+    changes, but the table is made if need be. ``combine`` gives the rows of a touched partition from the stored and the
+    incoming ones, where that is not an upsert.
     """
     table = f"`{namespace}`.`{name}`"
     database = _database_folder(spark, namespace)
@@ -299,7 +302,8 @@ def merge_table(
     days = fresh.select(F.col(partition).alias("_touched")).distinct()
     touched = spark.table(table).join(days, F.col(partition).eqNullSafe(F.col("_touched")), "left_semi").select(*columns)
     try:
-        upsert(touched, fresh, keys).select(*columns).write.partitionBy(partition).parquet(f"{merges.path}/{version}")
+        merged = combine(touched, fresh) if combine else upsert(touched, fresh, keys)
+        merged.select(*columns).write.partitionBy(partition).parquet(f"{merges.path}/{version}")
         names = [n for n in Folder(spark, f"{merges.path}/{version}").names() if "=" in n]
     except Exception:
         merges.delete(version)

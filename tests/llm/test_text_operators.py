@@ -20,6 +20,7 @@ import corpus_pipeline
 from vitrine.llm import decontamination, near_dups, packing, robust_rules, suffix_dedup
 from vitrine.llm.components import components
 from vitrine.llm.text import Words, rolling, shingles, sliding, texts_of, words_of
+from vitrine.operators.joins import lookup
 
 LOWER = {i: i + 32 for i in range(65, 91)}
 SPACES = re.compile(r"[^\x20\x09-\x0D]+")
@@ -186,6 +187,19 @@ def test_near_duplicates_with_null_and_repeated_ids(spark):
     assert near_dups.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_ids_that_are_no_numbers(spark):
+    rows = [("a", "one two three four five six seven eight nine ten"), ("b", "nothing")]
+    docs = frame(spark, rows, "doc_id string, text string")
+    with pytest.raises(TypeError, match="whole numbers"):
+        near_dups.near_duplicates(docs)
+    pieces = packing.pack(docs, TOKENIZER).collect()
+    assert sorted(r.doc_id for r in pieces) == ["a", "b"]
+    items = frame(spark, [("i10", rows[0][1]), ("i9", "three four five six seven eight nine ten one two"), (None, rows[0][1])], "item_id string, text string")
+    found = decontamination.contamination(docs, items)
+    assert {r.doc_id: r.item_ids for r in found.collect()} == {"a": ["i10"], "b": []}
+    assert {r.doc_id: r.items_sha256 for r in decontamination.digest(found).collect()}["a"] == hashlib.sha256(b"i10").hexdigest()
+
+
 def test_tiles_estimate_and_count_like_plain_sets():
     rng = np.random.default_rng(2)
     sets = [np.unique(rng.integers(0, 90, n)).astype(np.uint32) for n in (3, 5, 40, 60, 60, 80, 80, 200)]
@@ -210,6 +224,73 @@ def test_tiles_estimate_and_count_like_plain_sets():
         assert label[i] == min(seen)
 
 
+@pytest.mark.parametrize("shape", ["copies", "chain", "families", "strangers", "few strangers"])
+def test_long_groups_are_connected_in_rows_that_grow_with_their_members(spark, monkeypatch, shape):
+    """Members in tiles of eight, linked by number, against all pairs; two keys of 400 and 30 members."""
+    rng = random.Random(shape)
+    place = {
+        "copies": lambda d: 0,
+        "chain": lambda d: d,
+        "families": lambda d: 1000 * (d % 23) + rng.randrange(3),
+        "strangers": lambda d: 1000 * d + (rng.randrange(40) == 0) * 1000,
+        "few strangers": lambda d: 1000 * d if d % 40 == 0 else rng.randrange(2),
+    }[shape]
+    rows = [(key, -(-m // 8), d, place(d)) for key, m, first in ((7, 400, 0), (8, 30, 390)) for d in range(first, first + m)]
+    index = spark.createDataFrame(rows, "grp long, blocks long, doc long, x long").repartition(3)
+
+    def linked(table):
+        assert table.num_rows <= 60
+        x = table.column("x").to_numpy()
+        return np.abs(x[:, None] - x[None, :]) <= 1
+
+    dealt, work_off = [], near_dups._work_off
+    monkeypatch.setattr(near_dups, "_work_off", lambda rows, *rest: (dealt.append(rows.count()), work_off(rows, *rest))[1])
+    links = near_dups._links_within(index, "grp", lambda r: r, linked)
+    got = {r.node: r.component for r in components(links).collect()}
+    parent = {d: d for _, _, d, _ in rows}
+
+    def root(d):
+        while parent[d] != d:
+            d = parent[d]
+        return d
+
+    for key in (7, 8):
+        members = [(d, x) for k, _, d, x in rows if k == key]
+        for i, (d, x) in enumerate(members):
+            for e, y in members[:i]:
+                if abs(x - y) <= 1:
+                    a, b = root(d), root(e)
+                    parent[max(a, b)] = min(a, b)
+    assert {d: got.get(d, d) for d in parent} == {d: root(d) for d in parent}
+    assert dealt[0] <= 2 * len(rows)
+    if shape in ("copies", "few strangers"):
+        assert sum(dealt) <= 6 * len(rows)
+
+
+def test_hubs_are_split_in_the_joins_of_components(spark):
+    small = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    old = {c: spark.conf.get(c, None) for c in small}
+    for c, v in small.items():
+        spark.conf.set(c, v)
+    try:
+        edges = spark.range(1, 60_000).select(F.col("id").alias("b"), F.when(F.col("id") < 30_000, 0).otherwise(F.col("id") - 1).alias("a"))
+        least = edges.groupBy("a").agg(F.min("b").alias("m"))
+        joined = lookup(edges, least, ["a"], "inner")
+        assert joined.count() == 59_999
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    finally:
+        for c, v in old.items():
+            spark.conf.unset(c) if v is None else spark.conf.set(c, v)
+
+
 def test_a_passage_in_every_document_links_none(spark):
     rng = random.Random(5)
     passage = " ".join(f"common{i}" for i in range(30))
@@ -308,7 +389,6 @@ def test_contamination_without_items_or_documents(spark):
 
 def check_packing(rows, pieces, capacity):
     tokenizer = Tokenizer.from_file(TOKENIZER)
-    tokenizer.encode_special_tokens = True
     want = collections.Counter(tuple(tokenizer.encode(t or "", add_special_tokens=False).ids + [0]) for _, t in rows)
     by_sequence = collections.defaultdict(list)
     total = 0

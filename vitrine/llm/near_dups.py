@@ -18,14 +18,20 @@ Least overlap and estimate allow for ``sigmas`` standard deviations of a sketch:
 the threshold is passed over; sets of up to ``similarity * k`` shingles are compared without any such margin.
 
 Scale: copies are folded before anything else; values are counted with partial aggregation and joined by a join that
-splits hot keys. Lists and groups of any length are worked off in tiles of bounded size (two blocks of members), never
-as a whole; only documents that share most of their text with many others are in long ones. Pairs are compared inside
-a tile; what a task takes in grows with the members, times the blocks of a long list, and what it gives with the members. Texts are read twice; the second time only documents
-in candidate groups stay behind the join.
+splits hot keys. Lists and groups of any length are worked off in tiles of bounded size, never as a whole:
+
+* Members are dealt to blocks. A tile holds a block and the group's representatives, the members of one block, so that a
+  group of m members makes 2 m rows. Each tile finds the same largest part of the representatives, and which of its own
+  members are connected with it: no two of those need be compared again, in whatever blocks they are.
+* Members that are outside this part meet all blocks in a second pass, whose rows grow with m times their number by ``tile``.
+  Near copies of one text are settled by the first pass. Only groups of several large families, and members that
+  are linked with next to none of a long group though they share most of their text with it, take the second.
+
+Texts are read twice, a third time where there is a second pass; only documents in candidate groups stay behind the join.
 
 Edge cases: NULL, empty and word-free texts have the empty set and no links. Rows with the same id are one document
 with several sets, and each row gets its own n_shingles. Rows with a NULL id are never linked: component NULL, kept.
-An empty table gives an empty result. Other columns are ignored.
+An empty table gives an empty result. Other columns are ignored. Ids are whole numbers; other types are refused.
 """
 
 from __future__ import annotations
@@ -37,10 +43,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from vitrine.llm.components import components
 from vitrine.llm.storage import release, settled
 from vitrine.llm.text import ORDER_VALUES, Texts, mix, shingles, slices, texts_of, words_of
+from vitrine.operators.joins import lookup
 
 
 def sets_of(texts: Texts, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
@@ -65,6 +73,13 @@ def sets_of(texts: Texts, size: int = 5) -> tuple[np.ndarray, np.ndarray]:
     return value, np.searchsorted(text, np.arange(len(texts) + 1))
 
 
+def _by_value(rows: DataFrame, per_value: DataFrame) -> DataFrame:
+    """Rows with what is known of their value. As in ``lookup`` a second column makes Spark exchange both sides, so that it can split a hot value; a value's
+    own remainder takes next to no room in the exchange."""
+    slot = F.pmod("value", F.lit(7)).cast("byte")
+    return rows.withColumn("slot", slot).join(per_value.withColumn("slot", slot), ["value", "slot"]).drop("slot")
+
+
 SKETCHES = "doc long, n long, p1 long, p2 long, sketch array<long>"
 
 
@@ -195,9 +210,24 @@ def _one_sided(table: pa.Table) -> bool:
     return table.column("bi")[0].as_py() != table.column("bj")[0].as_py() and bool((block == block[0]).all())
 
 
-def _candidates(table: pa.Table, k: int, similarity: float, sigmas: float) -> list[tuple[int, int]]:
-    if _one_sided(table):
-        return []
+def _outside(table: pa.Table, linked: np.ndarray) -> list[int]:
+    """Members of a tile's block that are not connected with the largest part of the representatives, block 0.
+
+    Every tile of a group has all representatives, so that each finds the same part.
+    """
+    doc, block = table.column("doc").to_numpy(), table.column("block").to_numpy()
+    own = table.column("bi")[0].as_py()
+    reps = np.flatnonzero(block == 0)
+    if own <= 0 or own != table.column("bj")[0].as_py() or not len(reps):
+        return doc[block == own].tolist() if own > 0 and own == table.column("bj")[0].as_py() else []
+    parts = connected(linked[np.ix_(reps, reps)])
+    largest = int(np.bincount(parts).argmax())
+    whole = connected(linked)
+    return doc[(block == own) & (whole != whole[reps[largest]])].tolist()
+
+
+def _candidates(table: pa.Table, k: int, similarity: float, sigmas: float) -> np.ndarray:
+    """Which members of a tile have sketches alike enough."""
     n = table.column("n").to_numpy()
     tops = table.column("top")
     at = np.concatenate([[0], np.cumsum(pa.compute.list_value_length(tops).to_numpy())])
@@ -206,35 +236,67 @@ def _candidates(table: pa.Table, k: int, similarity: float, sigmas: float) -> li
     exact = whole & (n[:, None] <= k) & (n[None, :] <= k)
     slack = np.where(exact, 1e-6, sigmas * np.sqrt(similarity * (1 - similarity) / size))
     alike = np.minimum(n[:, None], n[None, :]) >= similarity * np.maximum(n[:, None], n[None, :]) - 1e-9
-    return _spanning(table, alike & (share >= similarity - slack))
+    return alike & (share >= similarity - slack)
 
 
-def _links(table: pa.Table, percent: int) -> list[tuple[int, int]]:
-    if _one_sided(table):
-        return []
+def _links(table: pa.Table, percent: int) -> np.ndarray:
+    """Which members of a tile have sets of that similarity."""
     n = table.column("n").to_numpy()
     both = Tile([np.frombuffer(x, "<u8") for x in table.column("members").to_pylist()]).overlaps().astype(np.int64)
-    return _spanning(table, 100 * both >= percent * (n[:, None] + n[None, :] - both))
+    return 100 * both >= percent * (n[:, None] + n[None, :] - both)
 
 
-def _tiles(rows: DataFrame, key: str, blocks: str, work) -> DataFrame:
-    """Links (a, b) that ``work`` finds in each tile: two of the ``blocks`` that the members of a key are dealt to."""
-    block = F.pmod(F.xxhash64("doc", key), F.col(blocks))
-    dealt = rows.withColumn("block", block).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col(blocks) - 1)))
-    tiles = dealt.select("*", F.least("block", "other").alias("bi"), F.greatest("block", "other").alias("bj")).drop("other", blocks)
+def _work_off(dealt: DataFrame, key: str, linked) -> DataFrame:
+    """Written down: links (a, b) of each tile (key, bi, bj), and rows (a, NULL, key) for members outside their group's largest part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple[int, int]] = []
+        out: list[tuple[int, int | None, int]] = []
         for table in _groups(batches, [key, "bi", "bj"]):
-            if table.num_rows > 1:
-                out += work(table)
+            alone = table.num_rows < 2
+            if not alone and _one_sided(table):
+                continue
+            number = table.column(key)[0].as_py()
+            matrix = np.ones((1, 1), bool) if alone else linked(table)
+            out += [(a, b, number) for a, b in _spanning(table, matrix)]
+            out += [(a, None, number) for a in _outside(table, matrix)]
             if len(out) > 10_000:
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], ["a", "b"])
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], ["a", "b", "key"])
                 out = []
         if out:
-            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out, strict=True)], ["a", "b", "key"])
+
+    # As many partitions as were asked for: work goes with the square of a tile's members, which sizes in bytes do not show.
+    parts = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return settled(dealt.repartition(parts, key, "bi", "bj").sortWithinPartitions(key, "bi", "bj", "doc").mapInArrow(run, "a long, b long, key long"))
+
 
-    return tiles.repartition(key, "bi", "bj").sortWithinPartitions(key, "bi", "bj", "doc").mapInArrow(run, "a long, b long")
+def _spread(rows: DataFrame, blocks: str) -> DataFrame:
+    """Each row once for every block."""
+    return rows.withColumn("at", F.explode(F.sequence(F.lit(0).cast("long"), F.col(blocks) - 1)))
+
+
+def _links_within(index: DataFrame, key: str, attach, linked) -> DataFrame:
+    """Links (a, b) that connect the members of each key as ``linked`` says of the members of a tile.
+
+    ``index`` has (key, blocks, doc, ...), ``attach`` adds what ``linked`` looks at to rows dealt to tiles.
+    """
+    index = settled(index.withColumn("block", F.pmod(F.xxhash64("doc", key), F.col("blocks"))))
+    columns = [c for c in index.columns if c != "blocks"] + ["bi", "bj"]
+    own = index.withColumns({"bi": F.col("block"), "bj": F.col("block")})
+    first = _spread(index.where("block = 0 and blocks > 1"), "blocks").where("at > 0").withColumns({"bi": F.col("at"), "bj": F.col("at")})
+    found = _work_off(attach(own.select(columns).union(first.select(columns))), key, linked)
+    links, outside = found.where("b is not null").select("a", "b"), found.where("b is null").select(F.col("a").alias("doc"), F.col("key").alias(key)).distinct()
+    if outside.isEmpty():
+        return links
+    counts = outside.groupBy(key).agg(F.count("*").alias("r"))
+    sizes = index.where("blocks > 1").groupBy(key, "blocks").agg(F.count("*").alias("m"))
+    turns = counts.join(sizes, key).select(key, F.ceil(F.col("r") * F.col("blocks") / F.col("m")).cast("long").alias("turns"))
+    members = settled(lookup(index.where("blocks > 1"), turns, [key], "inner"))
+    # Members outside meet all blocks: tiles of a block and a turn, told apart by the sign.
+    there = _spread(members, "turns").withColumns({"bi": F.col("block"), "bj": -1 - F.col("at")})
+    few = members.join(outside, [key, "doc"], "left_semi").withColumn("block", -1 - F.pmod(F.xxhash64("doc", key, F.lit(1)), F.col("turns")))
+    here = _spread(few, "blocks").withColumns({"bi": F.col("at"), "bj": F.col("block")})
+    return links.union(_work_off(attach(there.select(columns).union(here.select(columns))), key, linked).where("b is not null").select("a", "b"))
 
 
 def _full_sets(size: int):
@@ -243,42 +305,53 @@ def _full_sets(size: int):
             value, at = sets_of(texts_of(batch.column("text")), size)
             members = [value[a:b].astype("<u8").tobytes() for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("grp"), batch.column("blocks"), batch.column("doc"), pa.array(np.diff(at)), pa.array(members, pa.binary())], ["grp", "blocks", "doc", "n", "members"]
+                [*(batch.column(c) for c in ("grp", "doc", "block", "bi", "bj")), pa.array(np.diff(at)), pa.array(members, pa.binary())],
+                ["grp", "doc", "block", "bi", "bj", "n", "members"],
             )
 
     return run
 
 
 def near_duplicates(
-    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 80, size: int = 5, k: int = 64, sigmas: float = 7.0, tile: int = 256, tile_shingles: int = 500_000
+    documents: DataFrame, doc_id: str = "doc_id", text: str = "text", percent: int = 80, size: int = 5, k: int = 64, sigmas: float = 7.0, tile: int = 256, tile_shingles: int = 500_000, few_rows: int = 100_000
 ) -> DataFrame:
     """For each row of documents: its id, n_shingles, component (smallest id reachable over links) and kept."""
+    if not isinstance(documents.schema[doc_id].dataType, T.IntegralType):
+        raise TypeError(f"{doc_id}: near-duplicates need whole numbers as ids, not {documents.schema[doc_id].dataType.simpleString()}")
     similarity = percent / 100
     docs = documents.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text"))
     rows = settled(docs.mapInArrow(sketch(size, k), SKETCHES))
     sets = rows.where((F.col("n") > 0) & F.col("doc").isNotNull())
     classes = sets.groupBy("n", "p1", "p2").agg(F.min("doc").alias("rep"), F.count("*").alias("copies")).where("copies > 1")
-    copies = sets.select("doc", "n", "p1", "p2").join(classes, ["n", "p1", "p2"]).where("doc != rep").select(F.col("doc").alias("a"), F.col("rep").alias("b"))
+    copies = lookup(sets.select("doc", "n", "p1", "p2"), classes, ["n", "p1", "p2"], "inner").where("doc != rep").select(F.col("doc").alias("a"), F.col("rep").alias("b"))
     reps = sets.groupBy("n", "p1", "p2").agg(F.min("doc").alias("doc"), F.first("sketch").alias("sketch"))
     # the rarest retained values of each set that two similar ones cannot both be without
     postings = reps.select("doc", "p1", F.size("sketch").alias("s"), F.explode("sketch").alias("value"))
     counts = postings.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
-    shared = postings.join(counts, "value").groupBy("doc", "p1", "s").agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("values"))  # at most k
+    shared = _by_value(postings, counts).groupBy("doc", "p1", "s").agg(F.sort_array(F.collect_list(F.struct("df", "value"))).alias("values"))  # at most k
     necessary = F.element_at(F.array(*(F.lit(s - least_overlap(s, k, similarity, sigmas) + 1) for s in range(1, k + 1))), F.col("s"))
     take = F.greatest(necessary - (F.col("s") - F.size("values")), F.lit(0))
     prefix = settled(shared.select("doc", "p1", F.slice("values", F.lit(1), take)["value"].alias("prefix")).where(F.size("prefix") > 0))
     lists = prefix.select(F.explode("prefix").alias("value")).groupBy("value").agg(F.count("*").alias("m")).where("m > 1")
     lists = lists.select("value", F.ceil(F.col("m") / tile).cast("long").alias("blocks"))
     top = F.transform("sketch", lambda x: F.shiftright(x, 32).cast("int"))
-    members = prefix.join(reps.select("doc", "p1", "n", top.alias("top")), ["doc", "p1"]).select("doc", "n", "top", F.explode("prefix").alias("value")).join(lists, "value")
-    found = _tiles(members, "value", "blocks", lambda t: _candidates(t, k, similarity, sigmas))
+    tops = settled(prefix.select("doc", "p1").join(reps.select("doc", "p1", "n", top.alias("top")), ["doc", "p1"]))
+    members = _by_value(prefix.select("doc", "p1", F.explode("prefix").alias("value")), lists)
+    found = _links_within(members, "value", lambda dealt: dealt.join(tops, ["doc", "p1"]).drop("p1"), lambda tile: _candidates(tile, k, similarity, sigmas))
     group = components(found)
     release(documents.sparkSession)
-    sizes = rows.select("doc", "n").join(group, F.col("doc") == F.col("node")).select(F.col("component").alias("grp"), "n").groupBy("grp").agg(F.count("*").alias("m"), F.sum("n").alias("total"))
+    grouped = group.select(F.col("node").alias("doc"), F.col("component").alias("grp"))
+    sizes = rows.select("doc", "n").join(grouped, "doc").groupBy("grp").agg(F.count("*").alias("m"), F.sum("n").alias("total"))
     sizes = sizes.select("grp", F.greatest(F.ceil(F.col("m") / tile), F.ceil(F.col("total") / tile_shingles)).cast("long").alias("blocks"))
-    wanted = settled(group.join(sizes, F.col("component") == F.col("grp")).select(F.col("node").alias("doc"), "grp", "blocks"))
-    full = docs.join(wanted, "doc").select("grp", "blocks", "doc", "text").mapInArrow(_full_sets(size), "grp long, blocks long, doc long, n long, members binary")
-    links = _tiles(full.where("n > 0"), "grp", "blocks", lambda t: _links(t, percent))
+    wanted = lookup(grouped, sizes, ["grp"], "inner")
+
+    def full(dealt: DataFrame) -> DataFrame:
+        # Few rows go to the texts, rather than all texts to the rows.
+        few = dealt.limit(few_rows + 1).count() <= few_rows
+        sets_again = docs.join(F.broadcast(dealt) if few else dealt, "doc").select("grp", "doc", "block", "bi", "bj", "text")
+        return sets_again.mapInArrow(_full_sets(size), "grp long, doc long, block long, bi long, bj long, n long, members binary").where("n > 0")
+
+    links = _links_within(wanted, "grp", full, lambda tile: _links(tile, percent))
     component = components(links.union(copies))
     whole = rows.select("doc", "n").join(component, F.col("doc") == F.col("node"), "left")
     reached = F.coalesce("component", "doc")

@@ -6,8 +6,10 @@ import collections
 import gzip
 import hashlib
 import random
+import re
 import uuid
 import zlib
+from html.parser import HTMLParser
 
 import numpy as np
 import pyarrow as pa
@@ -108,6 +110,160 @@ def test_main_text_of_templates_and_broken_pages(spark):
     assert html_text.main_text(pages.limit(0)).count() == 0
 
 
+def test_names_that_mention_boilerplate_are_judged_by_the_host(spark):
+    """A name that ends in a word for boilerplate is; where it only mentions one, texts that repeat on the host's pages are."""
+    page = lambda i, law: (
+        f"<body><article><p>Story {i}, {'with words, ' * (9 + i)}</p><section class='social-contract'><p>Rousseau, part {i}.</p></section>"
+        f"<section id='search-results-explained'><p>Of results {i}.</p></section><div class='cookie-law-info'><p>{law}</p></div>"
+        f"<div class='ad-slot-2'><p>buy</p></div><div class='article-comments'><p>me too</p></div></article><div class=site-footer><p>foot</p></div></body>"
+    )
+    rows = [(i, "http://h/", page(i, "We keep cookies.")) for i in range(4)] + [(4, "http://h/", page(3, "We keep cookies."))]
+    rows += [(10 + i, "http://two/", page(i, "Law.")) for i in range(2)] + [(20 + i, "http://copies/", page(7, "Law.")) for i in range(5)]
+    got = {r.page_id: r.text for r in html_text.main_text(spark.createDataFrame(rows, PAGES)).collect()}
+    story = lambda i: f"Story {i}, {('with words, ' * (9 + i)).strip()}\n\nRousseau, part {i}.\n\nOf results {i}."
+    assert [got[i] for i in range(4)] == [story(i) for i in range(4)] and got[4] == got[3]
+    assert got[10] == story(0) + "\n\nLaw." and got[20] == story(7) + "\n\nLaw."  # too few pages, and copies of one, say nothing
+
+
+def test_several_containers_and_both_ways_to_the_paths(spark):
+    side = "<div class='content'><p>First half, long enough.</p></div><div class='content-2'><p>Second half, long enough.</p></div>"
+    wrapped = f"<div class='a'><div class='content'><p>{'one, ' * 30}</p></div></div><div class='b'><div class='story-text'><p>{'two, ' * 30}</p></div></div><div class='c'><p>side note</p></div>"
+    rows = [(1, "http://a/", f"<body>{side}</body>"), *((i, "http://b/", f"<body>{wrapped}</body>") for i in (2, 3, 4))]
+    pages = spark.createDataFrame(rows, PAGES)
+    got = {r.page_id: r.text for r in html_text.main_text(pages).collect()}
+    assert got[1] == "First half, long enough.\n\nSecond half, long enough."
+    assert got[2] == got[3] == "one, " * 29 + "one,\n\n" + "two, " * 29 + "two,"
+    assert {r.page_id: r.text for r in html_text.main_text(pages, broadcast_bytes=0).collect()} == got
+
+
+@pytest.mark.parametrize(
+    "source",
+    ['<a "' * 250_000, '<a "' * 250_000 + ">", "<div>" * 100_000 + "x", "<li><ul>" + "<div>" * 60_000 + "<li>" * 60_000, "<div class=share-price>" * 30_000 + "x",
+     "<script>" + "</script " * 100_000, "<" * 300_000, "<div>" * 50_000 + "</section>" * 50_000, "<article>" * 40_000 + "x" + "</article><article>y" * 40_000],
+)
+def test_broken_pages_cost_what_their_length_says(source):
+    import time
+    import tracemalloc
+
+    began = time.process_time()
+    page = html_text.Page(source)
+    if page.blocks:
+        best, _, _ = page.votes()
+        page.hints()
+        assert page.text([page.place[best]], [])
+    assert time.process_time() - began < 10  # 0.1 to 3 s; the square would take minutes
+    tracemalloc.start()
+    html_text.Page(source)
+    assert tracemalloc.get_traced_memory()[1] < 300 << 20
+    tracemalloc.stop()
+
+
+class PlainTree(HTMLParser):
+    """A tree of nested lists, for well-formed pages: [tag, class, children], text as it comes."""
+
+    def __init__(self, source):
+        super().__init__()
+        self.root = self.here = ["", "", [], None]
+        self.feed(source)
+
+    def handle_starttag(self, tag, attributes):
+        self.here[2].append(["", "", [], None])
+        self.here[2][-1][:] = [tag, dict(attributes).get("class", ""), [], self.here]
+        self.here = self.here[2][-1]
+
+    def handle_endtag(self, tag):
+        self.here = self.here[3]
+
+    def handle_data(self, data):
+        self.here[2].append(data)
+
+
+def plain_main_texts(pages):
+    """Container scores, votes and texts over trees, page by page: {page_id: text} of pages of one host."""
+    boxes, skipped = {"body", "div", "article", "section"}, {"nav", "footer", "aside"}
+    named = {"ad", "sidebar"}
+
+    def blocks(node, path):
+        """(path of containers, text) of the paragraphs below, in order."""
+        for child in node[2]:
+            if child[0] in skipped or child[1] in named:
+                continue
+            if child[0] in boxes:
+                step = child[0] + ("." + re.sub(r"\d+", "", child[1]).strip("-") if child[1] else "")
+                factor = {"article": 1.5, "body": 0.5}.get(child[0], 1.25 if "content" in child[1] else 1.0)
+                yield from blocks(child, (*path, (step, factor, id(child))))
+            else:
+                text = " ".join("".join(child[2]).split())
+                if text:
+                    yield path, text
+
+    steps = lambda path: tuple(x[0] for x in path)
+    under = lambda path, ways: any(steps(path)[: len(w)] == w for w in ways)
+    best = {}
+    for i, source in pages:
+        tree = PlainTree(source)
+        found = list(blocks(tree.root, ()))
+        if not found:
+            continue
+        score, weight, total = collections.Counter(), collections.Counter(), 0
+        boxes_of = {}  # each container: path, whether named content, its texts
+        for path, text in found:
+            own = len(text) * (10 + min(5, sum(text.count(x) for x in ".,;!?"))) * 1000 + 1
+            total += own
+            for k in range(1, len(path) + 1):
+                key = steps(path[:k])
+                weight[key] += own
+                score[key] += own * path[k - 1][1]
+                boxes_of.setdefault(path[k - 1][2], (key, path[k - 1][1] > 1, []))[2].append(path)
+        top = max((k for k in score if 10 * weight[k] >= 4 * total), key=lambda k: (score[k], len(k)))
+        further = set()
+        for key, content, paths in boxes_of.values():
+            alone = not any(under(p, [top, *further]) for p in paths)
+            if alone and 4 * score[key] >= score[top] and (content or key[-1] == top[-1]):
+                further.add(key)
+        best[i] = (top, further, found)
+    votes, size, more = collections.Counter(), collections.Counter(), collections.Counter()
+    for top, further, found in best.values():
+        votes[top] += 1
+        size[top] += sum(len(t) for p, t in found if under(p, [top]))
+        more.update(further)
+    winner = min(votes, key=lambda k: (-votes[k], -size[k], "".join(f"/{s}" for s in k)))
+    ways = [winner, *(k for k, n in more.items() if 2 * n > votes[winner])]
+    out = {i: "" for i, _ in pages}
+    for i, (top, further, found) in best.items():
+        read = lambda those: "\n\n".join(t for p, t in found if under(p, those))  # noqa: B023, E731
+        out[i] = read(ways) or read([top, *further])
+    return out
+
+
+def test_main_text_is_that_of_a_plain_reading_of_trees(spark):
+    """Random well-formed pages of three hosts."""
+    draw = random.Random(5)
+    words = lambda n: " ".join(draw.choice(["word", "and,", "so.", "then", "much!", "of"]) for _ in range(n))
+
+    def inner(depth):
+        parts = []
+        for _ in range(draw.randint(0, 3)):
+            kind = draw.randint(0, 5)
+            if kind < 3 or not depth:
+                parts.append(f"<p>{words(draw.randint(0, 30))}</p>")
+            elif kind == 3:
+                parts.append(f"<div class='x{draw.randint(1, 9)}'>{inner(depth - 1)}</div>")
+            elif kind == 4:
+                parts.append(f"<section>{inner(depth - 1)}</section>")
+            else:
+                parts.append(draw.choice(["<div class='ad'><p>buy this, now.</p></div>", "<nav><p>home</p></nav>", "<aside><p>by the way</p></aside>"]))
+        return "".join(parts)
+
+    for host in range(3):
+        box = ["<article>%s</article>", "<div class='content'>%s</div>", "%s"][host]
+        pages = [(i, f"<body>{inner(1)}{box % (inner(3) + inner(3))}<footer><p>foot</p></footer></body>") for i in range(40)]
+        frame = spark.createDataFrame([(i, f"http://host{host}/", s) for i, s in pages], PAGES)
+        want = plain_main_texts(pages)
+        got = {r.page_id: r.text for r in html_text.main_text(frame).collect()}
+        assert sum(got[i] != want[i] for i in want) == 0, [(i, got[i], want[i]) for i in want if got[i] != want[i]][:2]
+
+
 def test_the_hosts_path_overrules_a_pages_own(spark):
     """One page whose comments outweigh its article is still read by the path that its host's pages agree on."""
     page = lambda n, noise: f"<body><div class='story'><p>{'word, ' * n}</p></div><div class='x7'><p>{'chat, ' * noise}</p></div></body>"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import collections
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -120,22 +121,73 @@ def test_outliers_go_and_ordinary_rows_stay(spark):
     assert left.columns == again.columns and {r.doc_id for r in left.collect()} == kept
 
 
-def test_estimate_is_that_of_a_plain_concentration(spark):
-    """The final centre is the mean of the inner rows, found by the same steps in plain numpy."""
-    df = frame(spark, [(i, t, "en", "s") for i, t in enumerate(ordinary(400) + [t.upper() for t in ordinary(80, 5)])], "doc_id long, text string, lang string, source string")
-    prepared, _ = robust_rules._prepared(df, "text", ["doc_id"], "lang", "source")
-    vectors = prepared.cache()
-    x = np.array([[float(r[f]) for f in robust_rules.FEATURES] for r in vectors.collect()])
-    found = robust_rules.fit(vectors, steps=3)
-    (centre, cov), *_ = found.values()
-    floor = np.diag(np.square(np.array(robust_rules.FLOOR, float)))
-    c, v = np.median(x, 0), np.diag(np.square(1.4826 * np.median(np.abs(x - np.median(x, 0)), 0))) + floor
-    for _ in range(3):
-        diff = x - c
-        bins = np.floor(robust_rules.BINS * np.log2(np.einsum("ni,ij,nj->n", diff, np.linalg.inv(v), diff) + 1e-3))
-        inner = x[bins <= np.sort(bins)[int(np.ceil(0.75 * len(x))) - 1]]
-        c, v = inner.mean(0), np.cov(inner.T, bias=True) * robust_rules._consistency(0.75) + floor
-    assert np.allclose(centre, c) and np.allclose(cov, v)
+def vectors_of(spark, groups):
+    rows = [(lang, f"{lang}/{name}", *(int(v) for v in x)) for (lang, name), table in groups.items() for x in table]
+    schema = ", ".join(["lang_grp string", "grp string", *(f"{f} long" for f in robust_rules.FEATURES)])
+    return spark.createDataFrame(rows, schema).repartition(3)
+
+
+def plain_mcd(x, share):
+    """Centre and covariance of the inner share: four starts, each concentrated until its determinant stops falling."""
+    n, floor = len(x), np.array(robust_rules.FLOOR, float)
+    middle = np.median(x, 0)
+    spread = np.maximum(1.4826 * np.median(np.abs(x - middle), 0), floor)
+    z = (x - middle) / spread
+    starts = [(middle, np.diag(spread**2))]
+    for y in (np.tanh(z), z / np.maximum(np.linalg.norm(z, axis=1, keepdims=True), 1e-9)):
+        r = 0.9 * np.corrcoef(y.T) + 0.1 * np.eye(len(floor))
+        starts.append((middle, r * np.outer(spread, spread)))
+    starts.append((x.mean(0), np.cov(x.T, bias=True)))
+    best = (np.inf,)
+    for c, v in starts:
+        last, own = np.inf, None
+        while True:
+            bins = robust_rules._bins(np.einsum("ni,ij,nj->n", x - c, np.linalg.inv(robust_rules.regular(v)), x - c))
+            inner = x[bins <= np.sort(bins)[int(np.ceil(share * n)) - 1]]
+            c, v = inner.mean(0), np.cov(inner.T, bias=True)
+            now = np.linalg.slogdet(robust_rules.regular(v))[1]
+            if not now < last - 1e-9:
+                break
+            last, own = now, (c, v)
+        best = min(best, (last, *own), key=lambda b: b[0])
+    return best
+
+
+@pytest.mark.parametrize("max_groups", [2000, 0])
+def test_estimates_are_those_of_a_plain_search(spark, max_groups):
+    """Groups of their own, groups that borrow from their language, and a language that borrows from all."""
+    rng = np.random.default_rng(3)
+    scale = 3 * np.array(robust_rules.FLOOR)
+    cloud = lambda n, shift: np.rint(np.concatenate([rng.normal(shift, 1, (n, 10)), rng.normal(shift + 9, 0.3, (n // 6, 10))]) * scale + 5 * scale)
+    groups = {("en", "a"): cloud(120, 0), ("en", "b"): cloud(90, 2), ("en", "c"): cloud(20, 1), ("de", "a"): cloud(25, 0)}
+    estimates, n = robust_rules.fit(vectors_of(spark, groups), least_rows=60, max_groups=max_groups, finalists=4)
+    got = {r.grp: r for r in estimates.collect()}
+    assert n == len(got) == 4
+    en = np.concatenate([groups["en", k] for k in "abc"])
+    for grp, x in {"en/a": groups["en", "a"], "en/b": groups["en", "b"], "en/c": en, "de/a": np.concatenate([en, groups["de", "a"]])}.items():
+        logdet, centre, cov = plain_mcd(x, 0.75)
+        assert abs(got[grp].logdet - logdet) < 1e-6 and np.allclose(got[grp].centre, centre)
+        assert np.allclose(np.array(got[grp].cov).reshape(10, 10), cov * robust_rules._consistency(0.75))
+
+
+def test_estimate_is_the_least_of_all_shares(spark):
+    """A group small enough to try each share of its rows: the determinant found is the least there is."""
+    rng = np.random.default_rng(11)
+    scale = 3 * np.array(robust_rules.FLOOR)
+    x = np.rint(np.concatenate([rng.normal(0, 1, (12, 10)), rng.normal(8, 1, (4, 10))]) * scale + 20 * scale)
+    logdet = lambda rows: np.linalg.slogdet(robust_rules.regular(np.cov(x[list(rows)].T, bias=True)))[1]
+    best = min(itertools.combinations(range(16), 12), key=logdet)
+    estimates, _ = robust_rules.fit(vectors_of(spark, {("en", "a"): x}), least_rows=10)
+    (got,) = estimates.collect()
+    assert set(best) == set(range(12)) and abs(got.logdet - logdet(best)) < 1e-6 and np.allclose(got.centre, x[:12].mean(0))
+
+
+def test_quantiles_and_widening_are_those_of_a_normal_cloud():
+    squared = np.sort(np.random.default_rng(7).chisquare(10, 400_000))
+    for q in (0.5, 0.75, 0.99):
+        assert abs(robust_rules.cutoff_of(q) - squared[int(q * len(squared))]) < 0.15
+        assert abs(robust_rules._consistency(q) - 10 / squared[: int(q * len(squared))].mean()) < 0.01
+    assert abs(robust_rules.cutoff_of(0.9999) - 35.564) < 1e-3
 
 
 # ---------------------------------------------------------------- near-duplicates

@@ -418,15 +418,15 @@ def plain_hits(documents, items, size=10):
     return out
 
 
-@pytest.mark.parametrize("block_bytes", [16 << 20, 100])
-def test_contamination_is_that_of_all_windows(spark, block_bytes):
+@pytest.mark.parametrize("broadcast_bytes", [16 << 20, 0])
+def test_contamination_is_that_of_all_windows(spark, broadcast_bytes):
     rng = random.Random(2)
     words = [f"w{i}" for i in range(12)]
     text = lambda n: " ".join(rng.choice(words) for _ in range(n))
     items = [(i, text(rng.choice([12, 15, 40]))) for i in range(12)] + [(50, "w1 w2"), (51, "W3"), (52, "w4-w5, w6"), (53, None), (54, "..."), (55, "w1 w2"), (None, text(11)), (12, "é é é")]
     documents = [(i, text(rng.randrange(5, 300))) for i in range(60)]
     documents += [(100 + i, f"a b c {items[i % 12][1].upper()} d e") for i in range(24)] + EDGE[:6] + [(100, "é, É é! é")] * 2
-    got = decontamination.digest(decontamination.contamination(with_extras(frame(spark, documents)), spark.createDataFrame(items, "item_id long, text string"), block_bytes=block_bytes))
+    got = decontamination.digest(decontamination.contamination(with_extras(frame(spark, documents)), spark.createDataFrame(items, "item_id long, text string"), broadcast_bytes=broadcast_bytes, filter_bits=1 << 12))
     assert collections.Counter(tuple(r) for r in got.collect()) == plain_hits(documents, items)
 
 

@@ -7,10 +7,12 @@ therefore looks up, for each shingle of a document, the windows whose rarest shi
 the window gives the only place where the window can start (positional bound), which must leave room for the whole
 window inside the text (length bound). What is left is verified word by word.
 
-Scale: documents are never shuffled. The benchmark goes through the driver, which builds its windows; a benchmark larger than
-``block_bytes`` does so in several blocks, dealt by a hash of the item's text, so equal texts share a block whatever their
-number. Each block reads documents once to count how rare its shingles are; the join of all blocks is one more pass, which
-holds every block's index in its tasks at once. Blocks bound what is collected at a time, not that memory.
+Scale: a benchmark of at most ``broadcast_bytes`` is indexed once and goes to all tasks; documents are then read twice (for how
+rare its shingles are, and for the join) and never shuffled. A larger one stays in DataFrames: its windows, their shingles and
+how rare those are; documents' shingles that may be in a window (a bit table of at most ``filter_bits`` turns most others away)
+are counted, and those that may be a prefix meet the prefixes in a join by shuffle that can split frequent shingles. Each brings
+the words around it, so that bounds and words are checked in the join. Documents take part by their texts there: equal texts
+are worked off once. No task or driver holds the benchmark, or more than one row of a document and the hits in its text.
 
 Edge cases: NULL and word-free texts have no words and hits; an item without words has no window; items with equal
 windows are all reported; repeated rows and repeated ids are answered row by row; a NULL item_id takes part as NULL and
@@ -24,10 +26,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from vitrine.llm.storage import settled
 from vitrine.llm.text import NON_ALNUM, runs, shingles, slices, texts_of, words_of
+from vitrine.operators.joins import lookup
 
 SHINGLE = 3
 
@@ -194,6 +198,133 @@ def scan(index: Index, carry: list[str]):
     return join
 
 
+def _lists(table: np.ndarray) -> pa.ListArray:
+    rows, width = table.shape
+    return pa.ListArray.from_arrays(pa.array(np.arange(rows + 1) * width, pa.int32()), pa.array(np.ascontiguousarray(table).view(np.int64).ravel()))
+
+
+def _windows(size: int, at_most: int = 20_000):
+    """A row for each window of an item: its words, and the shingles of it, as hashes."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            words = words_of(texts_of(batch.column("text")), NON_ALNUM, lower=True)
+            of_size = {g: shingles(words, g)[0] for g in range(1, SHINGLE + 1)}
+            for item, first, last in zip(batch.column("item").to_pylist(), words.first.tolist(), words.last.tolist(), strict=True):
+                length = min(size, last - first)
+                g = min(SHINGLE, length)
+                starts = np.arange(first, last - length + 1) if length else np.zeros(0, np.int64)
+                for k in range(0, len(starts), at_most):
+                    own = starts[k : k + at_most, None]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([item] * len(own), pa.string()), _lists(words.hash[own + np.arange(length)]), _lists(of_size[g][own + np.arange(length - g + 1)]), pa.array(np.full(len(own), g, np.int32))],
+                        ["item", "words", "tokens", "g"],
+                    )
+
+    return emit
+
+
+class BitTable:
+    """Which remainders the tokens have: turns away nearly all others, and none of them."""
+
+    def __init__(self, tokens: DataFrame, bits: int):
+        slot = F.pmod("token", F.lit(bits))
+        held = tokens.select(F.shiftright(slot, 6).alias("at"), F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(slot, F.lit(64)).cast("int")).alias("bit"))
+        found = held.groupBy("at").agg(F.bit_or("bit").alias("bits")).toArrow()  # at most bits / 64 rows
+        self.bits = bits
+        self.table = np.zeros(bits // 64, np.int64)
+        self.table[found.column("at").to_numpy()] = found.column("bits").to_numpy()
+
+    def find(self, hashes: np.ndarray, inside: np.ndarray) -> np.ndarray:
+        slot = hashes.view(np.int64) % self.bits
+        return np.flatnonzero(inside & (((self.table[slot >> 6] >> (slot & 63)) & 1) == 1))
+
+
+def _count_shingles(table: BitTable, sizes: list[int]):
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            words = words_of(texts_of(batch.column("text")), NON_ALNUM, lower=True)
+            for g in sizes:
+                hashes, inside = shingles(words, g)
+                token, n = np.unique(hashes[table.find(hashes, inside)], return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(token), g, np.int32)), pa.array(token.view(np.int64)), pa.array(n)], ["g", "token", "n"])
+
+    return emit
+
+
+def _postings(table: BitTable, sizes: list[int], size: int, at_most: int = 20_000):
+    """A row for each place of a text whose shingle may be a prefix, with the words around it; ``before`` of them come first."""
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            words = words_of(texts_of(batch.column("text")), NON_ALNUM, lower=True)
+            text = words.text
+            for g in sizes:
+                hashes, inside = shingles(words, g)
+                found = table.find(hashes, inside)
+                for k in range(0, len(found), at_most):
+                    at = found[k : k + at_most]
+                    row = text[at]
+                    low, high = np.maximum(words.first[row], at - size + 1), np.minimum(words.last[row], at + size)
+                    offsets = np.concatenate([[0], np.cumsum(high - low)])
+                    around = np.repeat(low - offsets[:-1], high - low) + np.arange(offsets[-1])
+                    own = pa.array(row)
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("k1").take(own), batch.column("k2").take(own), pa.array(at - words.first[row]), pa.array(np.full(len(at), g, np.int32)), pa.array(hashes[at].view(np.int64)),
+                         pa.array(at - low), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(words.hash[around].view(np.int64)))],
+                        ["k1", "k2", "at", "g", "token", "before", "around"],
+                    )
+
+    return emit
+
+
+def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in slices(batches):
+        words = words_of(texts_of(batch.column("text")), NON_ALNUM, lower=True)
+        yield batch.append_column("n_words", pa.array(words.last - words.first, pa.int64()))
+
+
+def _ids(column: Column, names: tuple[str, str]) -> list[Column]:
+    """128 bits of a value, as two numbers."""
+    return [F.xxhash64(column).alias(names[0]), F.xxhash64(F.lit(1), column).alias(names[1])]
+
+
+def prefixes(texts: DataFrame, items: DataFrame, size: int, filter_bits: int) -> tuple[DataFrame, DataFrame, list[int]]:
+    """The rarest shingle of each different window (w1, w2, words, g, token, offset), the items of windows (w1, w2, item), and
+    the sizes of shingles."""
+    windows = items.mapInArrow(_windows(size), "item string, words array<long>, tokens array<long>, g int")
+    windows = settled(windows.groupBy("item", "words", "g").agg(F.first("tokens").alias("tokens")).select("*", *_ids(F.col("words"), ("w1", "w2"))))
+    sizes = [g for g in range(1, SHINGLE + 1) if windows.where(F.col("g") == g).take(1)]
+    different = windows.groupBy("w1", "w2").agg(F.first("words").alias("words"), F.first("tokens").alias("tokens"), F.first("g").alias("g"))
+    tokens = settled(different.select("w1", "w2", "g", F.posexplode("tokens").alias("offset", "token")))
+    table = BitTable(tokens.select("token"), filter_bits)
+    counts = texts.select("text").mapInArrow(_count_shingles(table, sizes), "g int, token long, n long").groupBy("g", "token").agg(F.sum("n").alias("n"))
+    rare = F.min(F.struct(F.coalesce("n", F.lit(0).cast("long")).alias("n"), "token", "offset")).alias("rare")
+    chosen = lookup(tokens, counts, ["g", "token"]).groupBy("w1", "w2").agg(rare)
+    return settled(different.drop("tokens").join(chosen, ["w1", "w2"]).select("w1", "w2", "words", "g", "rare.token", "rare.offset")), windows.select("w1", "w2", "item"), sizes
+
+
+def found_in_texts(texts: DataFrame, items: DataFrame, size: int = 10, filter_bits: int = 1 << 26) -> DataFrame:
+    """``spans`` and ``items`` for each text that holds a window, by its numbers k1 and k2. ``texts`` has k1, k2 and text."""
+    chosen, of_window, sizes = prefixes(texts, items, size, filter_bits)
+    table = BitTable(chosen.select("token"), filter_bits)
+    postings = texts.select("k1", "k2", "text").mapInArrow(_postings(table, sizes, size), "k1 long, k2 long, at long, g int, token long, before long, around array<long>")
+    places = postings.groupBy("k1", "k2", "at", "g").agg(*(F.first(c).alias(c) for c in ("token", "before", "around")))  # equal texts have equal rows
+    start, length = F.col("before") - F.col("offset"), F.size("words")
+    fits = (start >= 0) & (start + length <= F.size("around"))
+    same = F.when(fits, F.slice("around", (start + 1).cast("int"), length) == F.col("words")).otherwise(F.lit(False))
+    met = lookup(places, chosen, ["g", "token"], "inner").where(same)
+    hits = settled(met.select("k1", "k2", "w1", "w2", (F.col("at") - F.col("offset")).alias("start"), (F.col("at") - F.col("offset") + length).alias("end")))
+    order = Window.partitionBy("k1", "k2").orderBy("start")
+    ends = hits.groupBy("k1", "k2", "start").agg(F.max("end").alias("end"))
+    apart = F.col("start") > F.coalesce(F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(-1).cast("long"))
+    runs_ = ends.withColumn("apart", apart).withColumn("run", F.sum(F.col("apart").cast("int")).over(order)).groupBy("k1", "k2", "run").agg(F.min("start").alias("start"), F.max("end").alias("end"))
+    spans = runs_.groupBy("k1", "k2").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("spans"))
+    named = lookup(hits.select("k1", "k2", "w1", "w2").distinct(), of_window.where("item is not null"), ["w1", "w2"], "inner")
+    names = named.groupBy("k1", "k2").agg(F.array_sort(F.collect_set("item")).alias("items"))
+    return spans.join(names, ["k1", "k2"], "left")
+
+
 def contamination(
     documents: DataFrame,
     benchmark: DataFrame,
@@ -202,42 +333,34 @@ def contamination(
     item_id: str = "item_id",
     item_text: str = "text",
     size: int = 10,
-    block_bytes: int = 16 << 20,
+    broadcast_bytes: int = 2 << 20,
+    filter_bits: int = 1 << 26,
     carry: tuple[str, ...] = (),
 ) -> DataFrame:
     """For each row of documents: its id, n_words, ``spans`` (runs of hit words, from and to) and ``item_ids`` found.
 
-    The columns ``carry`` of documents come along.
+    The columns ``carry`` of documents come along. A benchmark of up to ``broadcast_bytes`` of text goes to all tasks.
     """
     names = [f"_in_{i}" for i in range(len(carry))]
     items = benchmark.select(F.col(item_id).cast("string").alias("item"), F.col(item_text).alias("text"))
     kind = benchmark.schema[item_id].dataType
-    total = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    blocks = max(1, -(-total // block_bytes))
-    rows = documents.select(
-        F.col(doc_id).alias("doc"),
-        F.col(text).alias("text"),
-        F.lit(0).cast("long").alias("n_words"),
-        F.array().cast("array<struct<start:long,end:long>>").alias("spans"),
-        F.array().cast("array<string>").alias("items"),
-        *(F.col(c).alias(n) for c, n in zip(carry, names, strict=True)),
-    )
-    schema = rows.schema
-    for block in range(blocks):
-        part = items if blocks == 1 else items.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == block)
-        index = index_of([(r[0], r[1]) for r in part.collect()], size)  # at most about block_bytes
+    total = items.agg(F.coalesce(F.sum(F.octet_length("text") + F.coalesce(F.octet_length("item"), F.lit(0)) + 8), F.lit(0))).first()[0]
+    carried = [F.col(c).alias(n) for c, n in zip(carry, names, strict=True)]
+    no_spans, no_items = F.array().cast("array<struct<start:long,end:long>>"), F.array().cast("array<string>")
+    if total <= broadcast_bytes:
+        rows = documents.select(F.col(doc_id).alias("doc"), F.col(text).alias("text"), F.lit(0).cast("long").alias("n_words"), no_spans.alias("spans"), no_items.alias("items"), *carried)
+        index = index_of([(r[0], r[1]) for r in items.where("text is not null").collect()], size)  # at most broadcast_bytes
         counts = count_tokens(documents, index, text) if len(index.tokens) else np.zeros(0, np.int64)
-        rows = rows.mapInArrow(scan(choose_prefix(index, counts), names), schema)
-    spans = F.array_sort("spans")
-    if blocks > 1:  # runs of several blocks may touch or overlap
-        def joined(done, span):
-            last = F.element_at(done, -1)
-            return F.when((F.size(done) > 0) & (last["end"] >= span["start"]),
-                F.concat(F.slice(done, 1, F.greatest(F.size(done) - 1, F.lit(0))), F.array(F.struct(last["start"].alias("start"), F.greatest(last["end"], span["end"]).alias("end")))),
-            ).otherwise(F.concat(done, F.array(span)))
-
-        spans = F.aggregate(spans, F.array().cast("array<struct<start:long,end:long>>"), joined)
-    return rows.select(F.col("doc").alias(doc_id), "n_words", spans.alias("spans"), F.array_sort(F.transform("items", lambda i: i.cast(kind))).alias("item_ids"), *(F.col(n).alias(c) for c, n in zip(carry, names, strict=True)))
+        rows = rows.mapInArrow(scan(choose_prefix(index, counts), names), rows.schema)
+    else:
+        rows = documents.select(F.col(doc_id).alias("doc"), F.col(text).alias("text"), *carried)
+        found = settled(found_in_texts(documents.select(*_ids(F.col(text), ("k1", "k2")), F.col(text).alias("text")), items, size, filter_bits))
+        held = found.agg(F.sum(48 + 16 * F.size("spans") + F.coalesce(F.octet_length(F.array_join("items", "")), F.lit(0)))).first()[0] or 0
+        counted = rows.mapInArrow(_count_words, ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema), "n_words long"])).select("*", *_ids(F.col("text"), ("k1", "k2")))
+        rows = counted.join(F.broadcast(found), ["k1", "k2"], "left") if held <= broadcast_bytes else lookup(counted, found, ["k1", "k2"])
+    spans = F.coalesce("spans", no_spans)
+    item_ids = F.array_sort(F.transform(F.coalesce("items", no_items), lambda i: i.cast(kind)))
+    return rows.select(F.col("doc").alias(doc_id), "n_words", spans.alias("spans"), item_ids.alias("item_ids"), *(F.col(n).alias(c) for c, n in zip(carry, names, strict=True)))
 
 
 def digest(found: DataFrame, doc_id: str = "doc_id") -> DataFrame:

@@ -34,6 +34,7 @@ from pyspark.sql import functions as F
 
 from vitrine.llm.storage import new_folder
 from vitrine.llm.text import slices
+from vitrine.operators.joins import lookup
 
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Pages carry no crawl time.
@@ -210,7 +211,7 @@ def archive_pages(
     key = F.when(F.length("payload") >= least_revisit_bytes, F.sha1("payload"))
     shared = rows.select(key.alias("digest"), "page_id").where("digest is not null").groupBy("digest").agg(F.max("page_id").alias("response"), F.count("*").alias("n")).where("n > 1")
     keyed = rows.withColumn("digest", F.coalesce(key, F.concat(F.lit("page "), F.coalesce(F.col("page_id").cast("string"), F.lit("")))))
-    dealt = keyed.join(shared.select("digest", "response"), "digest", "left")
+    dealt = lookup(keyed, shared.select("digest", "response"), ["digest"])  # a payload that a third of the pages share can be split
     refers = F.when(F.col("page_id") < F.col("response"), F.col("response"))
     manifest = dealt.select("page_id", "url", "payload", refers.alias("refers_to")).mapInArrow(write_archives(folder, archive_bytes), MANIFEST)
     manifest.write.parquet(f"{folder.rstrip('/')}-manifest")

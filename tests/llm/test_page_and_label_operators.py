@@ -318,6 +318,11 @@ def test_placement_spreads_hot_keys_and_writes_shards(spark, tmp_path):
     back = spark.read.parquet(f"{tmp_path}/out").select(*spread.columns)
     assert back.exceptAll(spread).count() == 0 and back.count() == 900
     assert sharding.place(rows.limit(0), ["k"], names).count() == 0
+    odd = spark.createDataFrame([(None, None, "x"), (1, "", "y"), (1, "", "y"), (2, "é" * 100_000, None)], "id long, text string, slot string")
+    stored = sharding.stored_shards(sharding.place(odd, ["id"], names), f"{tmp_path}/odd")
+    both = sharding.next_place(stored, [*names, "s5"])
+    assert both.columns == ["id", "text", "slot", "shard", "next_shard"] and both.exceptAll(sharding.moved(odd, ["id"], names, [*names, "s5"])).count() == 0 and both.count() == 4
+    assert sharding.stored_shards(sharding.place(odd.limit(0), ["id"], names), f"{tmp_path}/none").count() == 0
 
 
 # ---------------------------------------------------------------- classifiers

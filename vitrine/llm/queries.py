@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vitrine.llm import decontamination, html_text, merkle, near_dups, packing, periodic, quality_fm, robust_rules, sharding, suffix_dedup, toxicity, url_rules, warc
+from vitrine.llm.storage import new_folder
 
 #: The public tokenizer that the packing query counts with.
 TOKENIZER = "byte_bpe_50k.json"
@@ -45,8 +46,11 @@ SLOTS = 4099
 
 
 def op6_permutation_table_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _read(spark, sf_dir, "documents").select("doc_id")
-    return sharding.moved(rows, ["doc_id"], SHARDS, [*SHARDS, "shard-064"], SLOTS)
+    """Whole documents are written to their shards and read back; where each would go if a shard joined."""
+    placed = sharding.place(_read(spark, sf_dir, "documents"), ["doc_id"], SHARDS, SLOTS)
+    stored = sharding.stored_shards(placed, new_folder(spark, "shards"), files_per_shard=2)
+    text = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("text_sha256")
+    return sharding.next_place(stored, [*SHARDS, "shard-064"], SLOTS).select("doc_id", "slot", "shard", "next_shard", text)
 
 
 def op7_prefix_doubling_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,9 +118,10 @@ ORACLE: dict[str, str] = {
     "op6_permutation_table_shards": f"""
         with slots as (select {sharding.lookup_table(SHARDS, SLOTS)} as old, {sharding.lookup_table([*SHARDS, "shard-064"], SLOTS)} as new),
         hashed as (
-            select doc_id, (('0x' || md5(coalesce(length(doc_id::varchar) || ':' || doc_id::varchar, '-'))[1:15])::bigint % {SLOTS})::bigint as slot from documents
+            select doc_id, (('0x' || md5(coalesce(length(doc_id::varchar) || ':' || doc_id::varchar, '-'))[1:15])::bigint % {SLOTS})::bigint as slot,
+                   sha256(coalesce(text, '')) as text_sha256 from documents
         )
-        select doc_id, slot, printf('shard-%03d', old[slot + 1]) as shard, printf('shard-%03d', new[slot + 1]) as next_shard from hashed, slots
+        select doc_id, slot, printf('shard-%03d', old[slot + 1]) as shard, printf('shard-%03d', new[slot + 1]) as next_shard, text_sha256 from hashed, slots
     """,
     "op4_warc_round_trip": """
         with payload as (select page_id, coalesce(html, '') as body from pages),

@@ -8,7 +8,8 @@ number of shards. Shards differ by one slot at most, and when a shard comes or g
 Scale: the table has ``size`` entries whatever the corpus; it goes to the tasks as one broadcast array literal, and
 placement is a narrow projection in the JVM. A key that holds a third of all rows would fill its shard; ``spread`` adds the
 row's own identity to the hash, so that such rows go to many shards (give the key alone to keep its rows together).
-``write_shards`` shuffles by shard and sub-divides each shard's partition into ``files_per_shard`` files.
+``write_shards`` shuffles by shard and sub-divides each shard's partition into ``files_per_shard`` files; ``stored_shards`` reads
+them back, the shard from the folder a row was found in.
 
 Edge cases: a NULL key is hashed like any value; equal keys meet in one shard; an empty table gives an empty result; more
 shards than slots, no shards, repeated names, or a size that is no prime are refused. An input column named like an output
@@ -71,8 +72,18 @@ def write_shards(placed: DataFrame, folder: str, files_per_shard: int = 1, slot:
     placed.repartition(int(shards), F.col(shard), part).write.partitionBy(shard).mode("errorifexists").parquet(folder)
 
 
+def stored_shards(placed: DataFrame, folder: str, files_per_shard: int = 1, slot: str = "slot", shard: str = "shard") -> DataFrame:
+    """The placed rows, written to ``folder`` and read from there. Runs when it is called."""
+    write_shards(placed, folder, files_per_shard, slot, shard)
+    return placed.sparkSession.read.schema(placed.schema).parquet(folder).select(*placed.columns)
+
+
+def next_place(placed: DataFrame, shards: list[str], size: int = 4099, slot: str = "slot", next_shard: str = "next_shard") -> DataFrame:
+    """Placed rows with the shard of their slot once the shards have changed."""
+    numbers, names = F.lit(lookup_table(shards, size)), F.lit(shards)
+    return placed.withColumn(next_shard, F.element_at(names, F.element_at(numbers, F.col(slot).cast("int") + 1) + 1))
+
+
 def moved(rows: DataFrame, key: list[str], before: list[str], after: list[str], size: int = 4099) -> DataFrame:
     """Rows with ``slot``, ``shard`` and ``next_shard``, their place once the shards have changed."""
-    old = place(rows, key, before, size)
-    numbers, names = F.lit(lookup_table(after, size)), F.lit(after)
-    return old.withColumn("next_shard", F.element_at(names, F.element_at(numbers, F.col("slot").cast("int") + 1) + 1))
+    return next_place(place(rows, key, before, size), after, size)

@@ -139,7 +139,11 @@ def landing(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
             },
         )
     if name == "game_prices":
-        base = read("part").withColumn("r", F.expr("explode(sequence(0, 4))"))
+        # A part makes 5 to 10 rows: dealt out before it does, so that no task makes and sorts those of a whole row group.
+        # As many partitions as were asked for, since the parts are small beside what becomes of them.
+        parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+        dealt = read("part").repartition(parts, "p_partkey", "p_retailprice")
+        base = dealt.withColumn("r", F.expr("explode(sequence(0, 4))"))
         start = "timestamp'1994-07-01' + make_dt_interval(int(p_partkey % 30))"
         return _landed(
             _emitted(base, "(p_partkey * 5 + r)"),

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from harness.testdata import SCHEMAS, landing
 from vitrine import operators as op
 from vitrine.session import cluster_conf
 
@@ -168,3 +169,13 @@ def test_percentile_counts_values_first(spark, hot):
         g = got[(r["d"], r["c"])]
         assert (g["session_count"], g["p50"]) == (r["n"], r["p50"])
         assert g["p90"] == pytest.approx(r["p90"])
+
+
+def test_price_rows_of_one_row_group_are_dealt_out(spark, tmp_path):
+    """However the parts are stored, no task makes, and so sorts, the price rows of all of them."""
+    part = spark.range(4000).selectExpr("id", "'n'", "'b'", "'t'", "1", "id / 10d").toDF(*[c.split()[0] for c in SCHEMAS["part"].split(", ")])
+    part.selectExpr(*[f"cast({c.split()[0]} as {c.split()[1]}) as {c.split()[0]}" for c in SCHEMAS["part"].split(", ")]).coalesce(1).write.parquet(f"{tmp_path}/part.parquet")
+    prices = landing(spark, str(tmp_path), "game_prices")
+    sizes = [r["count"] for r in prices.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 4000 * 5 * 5 // 4 and max(sizes) < 0.5 * sum(sizes)
+    assert prices.select("id", "record_metadata.offset").distinct().count() == sum(sizes)

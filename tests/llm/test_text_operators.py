@@ -5,8 +5,11 @@ from __future__ import annotations
 import collections
 import hashlib
 import itertools
+import os
 import random
 import re
+import subprocess
+import sys
 import zlib
 
 import duckdb
@@ -553,3 +556,32 @@ def test_run_writes_and_reads_every_stage(spark, tmp_path):
     duckdb.sql(f"copy (select * from '/root/testdata/sf0.001/benchmark.parquet') to '{tmp_path}/benchmark.parquet'")
     assert corpus_pipeline.ORACLE_SQL is None
     assert corpus_pipeline.run(spark, str(tmp_path)).columns == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+
+
+HELD = """
+import re
+import pyarrow as pa
+from vitrine.llm.near_dups import sketch
+
+def used():
+    return sum(int(x) for x in re.findall("Pss_Anon: +([0-9]+)", open("/proc/self/smaps_rollup").read())) >> 10
+
+def batches():
+    words = " ".join(f"w{i}" for i in range(400))
+    for k in range(6):
+        yield pa.RecordBatch.from_arrays([pa.array(range(6000)), pa.array([f"{k} {i} {words}" for i in range(6000)])], ["doc", "text"])
+
+for _ in range(2):
+    rows = sum(out.num_rows for out in sketch(5, 64)(batches()))
+after = used()
+pa.default_memory_pool().release_unused()
+print(rows, after - used())
+"""
+
+
+def test_a_worker_gives_back_the_room_of_its_batches():
+    """A Python worker outlives its tasks; Arrow's pool does not keep the largest batches of each."""
+    if not os.path.exists("/proc/self/smaps_rollup"):
+        pytest.skip("needs /proc")
+    out = subprocess.run([sys.executable, "-c", HELD], cwd=os.path.dirname(corpus_pipeline.__file__), capture_output=True, text=True, check=True).stdout.split()
+    assert int(out[0]) == 36000 and int(out[1]) < 20, out

@@ -47,7 +47,7 @@ from pyspark.sql import types as T
 
 from vitrine.llm.components import components
 from vitrine.llm.storage import release, settled
-from vitrine.llm.text import ORDER_VALUES, Texts, mix, shingles, slices, texts_of, words_of
+from vitrine.llm.text import ORDER_VALUES, Texts, mix, returning, shingles, slices, texts_of, words_of
 from vitrine.operators.joins import lookup
 
 
@@ -176,7 +176,7 @@ def connected(linked: np.ndarray) -> np.ndarray:
 def _groups(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
     """Runs of rows with equal keys, of batches sorted by them."""
     held: pa.Table | None = None
-    for batch in batches:
+    for batch in returning(batches):
         table = pa.Table.from_batches([batch])
         if held is not None:
             table = pa.concat_tables([held, table])

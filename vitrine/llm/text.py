@@ -71,9 +71,23 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> Texts:
     return Texts(buf, at[:-1] - at[0], at[1:] - at[0])
 
 
+def returning(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same batches. What Arrow keeps of earlier ones goes back to the system with each batch and at the end.
+
+    Spark's Python workers live on after a task. Arrow's pool would leave each of them with the room of its largest batches,
+    beside an executor whose other tasks need it.
+    """
+    pool = pa.default_memory_pool()
+    for batch in batches:
+        pool.release_unused()
+        yield batch
+        del batch
+    pool.release_unused()
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text", at_most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``at_most`` bytes of text; a longer text comes alone."""
-    for batch in batches:
+    for batch in returning(batches):
         if not batch.num_rows:
             continue
         sizes = np.maximum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), 0)

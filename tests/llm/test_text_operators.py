@@ -6,6 +6,7 @@ import collections
 import hashlib
 import itertools
 import os
+import platform
 import random
 import re
 import subprocess
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from vitrine.llm import decontamination, near_dups, packing, robust_rules, suffix_dedup
+from vitrine.llm import decontamination, near_dups, packing, robust_rules, suffix_dedup, text
 from vitrine.llm.components import components
 from vitrine.llm.text import Words, rolling, shingles, sliding, texts_of, words_of
 from vitrine.operators.joins import lookup
@@ -585,3 +586,60 @@ def test_a_worker_gives_back_the_room_of_its_batches():
         pytest.skip("needs /proc")
     out = subprocess.run([sys.executable, "-c", HELD], cwd=os.path.dirname(corpus_pipeline.__file__), capture_output=True, text=True, check=True).stdout.split()
     assert int(out[0]) == 36000 and int(out[1]) < 20, out
+
+
+GIVEN_BACK = """
+import ctypes, gc, random, re, sys
+import pyarrow as pa
+from vitrine.llm import near_dups, packing, robust_rules, text
+
+def used():
+    return sum(int(x) for x in re.findall("Pss_Anon: +([0-9]+)", open("/proc/self/smaps_rollup").read())) >> 10
+
+def batches():
+    pick = random.Random(5)
+    words = [f"w{pick.randrange(10**5)}" for _ in range(10**5)]
+    for k in range(3):
+        at = [pick.randrange(90_000) for _ in range(8000)]
+        texts = [" ".join(words[i : i + pick.randrange(20, 900)]) for i in at]
+        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(texts)], ["doc", "text"])
+
+def statistics(batches):
+    for batch in text.slices(batches):
+        robust_rules.statistics(text.texts_of(batch.column("text")))
+        yield batch
+
+task = {"sketch": near_dups.sketch(5, 64), "statistics": statistics, "pieces": packing.cut_pieces(sys.argv[2], 1024, 0)}[sys.argv[1]]
+rows = sum(out.num_rows for out in task(batches()))
+after = used()
+gc.collect()
+ctypes.CDLL(None).malloc_trim(0)
+print(rows, after - used())
+"""
+
+
+@pytest.mark.parametrize("task", ["sketch", "statistics", "pieces"])
+def test_a_worker_gives_back_the_room_of_its_arrays(task):
+    """NumPy's arrays come from the C library, which does not keep for an idle worker what a task has freed."""
+    if not os.path.exists("/proc/self/smaps_rollup") or platform.libc_ver()[0] != "glibc":
+        pytest.skip("needs /proc and GNU's C library")
+    here = os.path.dirname(corpus_pipeline.__file__)
+    out = subprocess.run([sys.executable, "-c", GIVEN_BACK, task, TOKENIZER], cwd=here, capture_output=True, text=True, check=True).stdout.split()
+    assert int(out[0]) >= 24000 and int(out[1]) < 40, out
+
+
+def test_a_task_of_another_kind_drops_what_packing_keeps():
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["some words of a text", None])], ["doc", "text"])
+    cut = packing.cut_pieces(TOKENIZER, 1024, 0)
+    first = [x.to_pydict() for x in cut(iter([batch]))]
+    units = text.kept[TOKENIZER]
+    assert [x.to_pydict() for x in cut(iter([batch]))] == first and text.kept[TOKENIZER] is units  # the next task of its kind goes on with them
+    mixed = cut(near_dups_then(batch))  # even while it runs
+    assert [x.to_pydict() for x in mixed] == first
+    list(near_dups.sketch(5, 64)(iter([batch])))
+    assert not text.kept
+
+
+def near_dups_then(batch):
+    list(near_dups.sketch(5, 64)(iter([batch])))
+    yield batch

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.llm.storage import settled
-from vitrine.llm.text import BYTE_VALUES, PLACE_VALUES, Texts, mix, slices, texts_of
+from vitrine.llm.text import BYTE_VALUES, PLACE_VALUES, Texts, kept, mix, returning, slices, texts_of
 
 PIECES = "start long, length long, ids_crc32 long, doc_tokens long"
 #: Units of text whose ids a worker remembers, at most.
@@ -167,15 +167,13 @@ class Units:
         return ids, np.concatenate([[0], total])[units]
 
 
-_held: dict[str, Units] = {}
-
-
 def cut_pieces(path: str, capacity: int, separator: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _held:
-            _held[path] = Units(path)
-        for batch in slices(batches):
-            ids, ends = _held[path].encode(texts_of(batch.column("text")))
+        if path not in kept:
+            kept[path] = Units(path)
+        units = kept[path]
+        for batch in slices(batches, keeps=path):
+            ids, ends = units.encode(texts_of(batch.column("text")))
             doc, start, length, crc, whole = [], [], [], [], []
             low = 0
             for i, high in enumerate(ends.tolist()):
@@ -252,7 +250,7 @@ def place_pieces(offsets: dict[tuple[int, int], int], plan: list[tuple[dict[int,
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: dict[tuple[int, int], int] = {}
-        for batch in batches:
+        for batch in returning(batches):
             n = batch.num_rows
             length = batch.column("length").to_numpy()
             part = batch.column("part").to_numpy()

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vitrine.llm.storage import settled
-from vitrine.llm.text import SPACE, Texts, shingles, slices, texts_of, words_of
+from vitrine.llm.text import SPACE, Texts, returning, shingles, slices, texts_of, words_of
 from vitrine.operators.joins import lookup
 
 SYMBOLS = np.zeros(256, bool)
@@ -164,7 +164,7 @@ def _bins(distance: np.ndarray) -> np.ndarray:
 
 def _count_bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows of each estimate (``key``) and bin, a row for each batch."""
-    for batch in batches:
+    for batch in returning(batches):
         if batch.num_rows:
             key = batch.column("key").dictionary_encode()
             code, n = np.unique(np.stack([key.indices.to_numpy(), _bins(_distances(_values(batch), batch.column("p")))]), axis=1, return_counts=True)
@@ -184,7 +184,7 @@ def _summed(keys: pa.DictionaryArray, values: np.ndarray, rows: np.ndarray) -> p
 
 def _sum_inner(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums of the rows that lie in the inner share of an estimate."""
-    for batch in batches:
+    for batch in returning(batches):
         if batch.num_rows:
             values = _values(batch)
             inner = _bins(_distances(values, batch.column("p"))) <= batch.column("p").field("most").to_numpy(zero_copy_only=False)
@@ -196,7 +196,7 @@ _MICRO = 10**6
 
 def _sum_starts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sums of all rows: deviations squashed (start 1), their directions (2), both in millionths, and the rows as they are (3)."""
-    for batch in batches:
+    for batch in returning(batches):
         if not batch.num_rows:
             continue
         values = _values(batch)
@@ -361,7 +361,7 @@ def _consistency(share: float) -> float:
 
 
 def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in returning(batches):
         if batch.num_rows:
             distance = _distances(_values(batch), batch.column("p"))
             names = [c for c in batch.schema.names if c != "p"]

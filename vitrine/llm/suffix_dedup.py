@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vitrine.llm.storage import release, settled
-from vitrine.llm.text import Texts, mix, rolling, runs, slices, sliding, texts_of
+from vitrine.llm.text import Texts, mix, returning, rolling, runs, slices, sliding, texts_of
 
 _SEGMENT = 1 << 16
 _C = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -165,7 +165,7 @@ def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Round 2 over rows sorted by (rank, triple, doc, at): (doc, code), code being 2 * at, + 1 where left open."""
     last_rank = last_triple = None
     waiting: tuple[int, int] | None = None  # first row of the current rank, while it has but one triple
-    for batch in batches:
+    for batch in returning(batches):
         rank, triple, doc, at, kind = (batch.column(c).to_numpy() for c in ("rank", "triple", "doc", "at", "kind"))
         known = kind >= _REPEAT
         docs, codes = [doc[known]], [2 * at[known] + (kind[known] == _OPEN)]
@@ -255,7 +255,7 @@ def _open_windows(threshold: int, fold_bytes: int):
 def _first_positions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Round 3 over rows sorted by (first, second, doc, at): the first position of each pair."""
     last = None
-    for batch in batches:
+    for batch in returning(batches):
         if batch.num_rows:
             first, second = batch.column("first").to_numpy(), batch.column("second").to_numpy()
             new = _first_of(first, second)

@@ -7,6 +7,7 @@ that a retried task gives the same values.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -71,23 +72,45 @@ def texts_of(column: pa.Array | pa.ChunkedArray) -> Texts:
     return Texts(buf, at[:-1] - at[0], at[1:] - at[0])
 
 
-def returning(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The same batches. What Arrow keeps of earlier ones goes back to the system with each batch and at the end.
+#: What tasks leave in their worker for later tasks of the same kind, by the name of the kind.
+kept: dict[str, object] = {}
 
-    Spark's Python workers live on after a task. Arrow's pool would leave each of them with the room of its largest batches,
-    beside an executor whose other tasks need it.
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (AttributeError, OSError, TypeError):  # another C library than GNU's
+    _trim = None
+
+
+def give_back() -> None:
+    """Returns to the system what Arrow's pool and the C library, which has NumPy's arrays, keep of what was freed."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
+def returning(batches: Iterator[pa.RecordBatch], keeps: str | None = None) -> Iterator[pa.RecordBatch]:
+    """The same batches. What is kept of earlier ones goes back to the system after every 8 MB and at the end, and at the
+    beginning all that tasks of another kind than ``keeps`` have left in ``kept``.
+
+    Spark's Python workers live on after a task. Each would be left with the room of its largest batches and of the arrays
+    made of them, beside an executor whose other tasks need it.
     """
-    pool = pa.default_memory_pool()
+    for name in [name for name in kept if name != keeps]:
+        del kept[name]
+    passed = 0
     for batch in batches:
-        pool.release_unused()
+        passed += batch.nbytes
+        if passed >= 1 << 23:
+            give_back()
+            passed = 0
         yield batch
         del batch
-    pool.release_unused()
+    give_back()
 
 
-def slices(batches: Iterator[pa.RecordBatch], column: str = "text", at_most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+def slices(batches: Iterator[pa.RecordBatch], column: str = "text", at_most: int = 1 << 20, keeps: str | None = None) -> Iterator[pa.RecordBatch]:
     """The same rows in batches of about ``at_most`` bytes of text; a longer text comes alone."""
-    for batch in returning(batches):
+    for batch in returning(batches, keeps):
         if not batch.num_rows:
             continue
         sizes = np.maximum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), 0)
